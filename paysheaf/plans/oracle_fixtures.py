@@ -23,3 +23,10 @@ PAY = """pay AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+CLUB_SPELLINGS = """club_spellings AS (
+  SELECT * REPLACE (CASE record_id % 4 WHEN 0 THEN club WHEN 1 THEN lower(club)
+                         WHEN 2 THEN club || ' FC' ELSE translate(club, 'AO', 'ÁÖ') END AS club)
+  FROM pay
+)"""

@@ -72,3 +72,15 @@ def pay_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pay`` restricted to the record columns (+ record_id, which carries input order)."""
     return pay(spark, sf_dir).select("year", "club", "last_name", "first_name", "position",
                                      "base_salary", "guaranteed_comp", "record_id")
+
+
+def club_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pay_records`` with the club written four ways (as is, lower case, with an ' FC'
+    suffix, with accented vowels) — input for the spelling-variant check."""
+    recs = pay_records(spark, sf_dir)
+    k = F.col("record_id") % 4
+    club = (F.when(k == 0, F.col("club"))
+            .when(k == 1, F.lower("club"))
+            .when(k == 2, F.concat(F.col("club"), F.lit(" FC")))
+            .otherwise(F.translate("club", "AO", "ÁÖ")))
+    return recs.withColumn("club", club)
