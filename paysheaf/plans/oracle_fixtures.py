@@ -30,3 +30,39 @@ CLUB_SPELLINGS = """club_spellings AS (
                          WHEN 2 THEN club || ' FC' ELSE translate(club, 'AO', 'ÁÖ') END AS club)
   FROM pay
 )"""
+
+
+DIRTY_STRINGS = """dirty_strings AS (
+  SELECT c_custkey AS id,
+    CASE c_custkey % 8
+      WHEN 0 THEN '$' || format('{:,.2f}', CAST(c_acctbal AS DECIMAL(18,2)))
+      WHEN 1 THEN format('{:,.2f}', CAST(c_acctbal AS DECIMAL(18,2))) || '$'
+      WHEN 2 THEN '  $' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) || chr(9)
+      WHEN 3 THEN ''
+      WHEN 4 THEN NULL
+      WHEN 5 THEN '-'
+      WHEN 6 THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) || '.5'
+      ELSE '$ ' || format('{:,.2f}', CAST(c_acctbal AS DECIMAL(18,2))) END AS money_raw,
+    CASE c_custkey % 5
+      WHEN 0 THEN '  "' || c_name || '"  '
+      WHEN 1 THEN '''' || c_name || ''''
+      WHEN 2 THEN '"''' || c_name || '''"'
+      WHEN 3 THEN chr(9) || c_name || ' ' || chr(10)
+      ELSE NULL END AS name_raw,
+    CASE c_custkey % 4
+      WHEN 0 THEN ' ' || lower(substr(c_mktsegment, 1, 3)) || '-f '
+      WHEN 1 THEN substr(c_mktsegment, 1, 2) || '/' || substr(c_mktsegment, 3, 1)
+      WHEN 2 THEN c_mktsegment
+      ELSE '' END AS code_raw,
+    replace(c_name, '#', ':  ' || chr(9) || '(#')
+      || CASE c_custkey % 3 WHEN 0 THEN ' Ht. (cm)' WHEN 1 THEN '  ' ELSE '' END AS text_raw,
+    CASE c_custkey % 3
+      WHEN 0 THEN '#' || CAST(c_custkey % 100 AS VARCHAR)
+      WHEN 1 THEN 'No. ' || CAST(c_custkey % 10 AS VARCHAR) || ' / 8'
+      ELSE '--' END AS jersey_raw,
+    c_name
+  FROM customer
+)"""
+
+# Whitespace class equal to Python's str.split() set, for RE2.
+WS = r"[\t\n\x{0b}\f\r \x{1c}-\x{1f}\x{85}\p{Z}]"

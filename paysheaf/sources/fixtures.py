@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY
-from ..session import sized_broadcast
+from ..session import cut_lineage, sized_broadcast
 from .tables import read_table
 
 # Upper bound for dimension tables that are broadcast (nations × regions).
@@ -84,3 +84,136 @@ def club_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 2, F.concat(F.col("club"), F.lit(" FC")))
             .otherwise(F.translate("club", "AO", "ÁÖ")))
     return recs.withColumn("club", club)
+
+
+def club_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Club dimension over the given tables: code 'N<nationkey>' -> nation name, and
+    full name '<region> <nation>' (lower case) -> nation name."""
+    geo = geography(spark, sf_dir)
+    codes = geo.select(F.lit("code").alias("kind"),
+                       F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("key"),
+                       F.col("n_name").alias("canonical"))
+    names = geo.select(F.lit("name").alias("kind"),
+                       F.lower(F.concat_ws(" ", "r_name", "n_name")).alias("key"),
+                       F.col("n_name").alias("canonical"))
+    return codes.unionByName(names)
+
+
+# Layout of the payroll documents derived from ``pay`` (fixed values).
+TITLE = "{year} Payroll Report - Alphabetical List"
+CSV_HEADER = "Club,Last Name,First Name,Position,Base Salary,Guaranteed Compensation"
+PDF_HEADER_CLUB_FIRST = "Club  Last Name  First Name  Pos  Base Salary  Guaranteed Comp"
+PDF_HEADER_NAMES_FIRST = "First Name Last Name Club Position Base Salary Guaranteed Compensation"
+
+
+def _csv_quote(c: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def raw_pay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payroll documents as text lines, one source per year:
+    (source_id, year, source_format, row_no, line).
+
+    Odd years are CSV documents (club first), even years PDF-like text (names first
+    when the year is divisible by 4). Row 0 is a title, row 1 the header, data rows follow
+    in record order (row_no = 10 * record_id + 10), with blank lines and 'Total' lines mixed in.
+    The club is written as the code 'N<nk>' for even record ids, else as '<region> <nation>'.
+    Money is written '$1,234.56'. PDF rows leave blank fields out.
+    """
+    p = pay(spark, sf_dir)
+    rid = F.col("record_id")
+    is_csv = F.col("year") % 2 == 1
+    names_first = F.col("year") % 4 == 0
+    club_text = F.when(rid % 2 == 0, F.concat(F.lit("N"), F.col("nk").cast("string"))) \
+        .otherwise(F.concat_ws(" ", "region", "club"))
+    money = {c: F.concat(F.lit("$"), F.format_number(c, 2)) for c in ("base_salary", "guaranteed_comp")}
+    last_cell = F.when(rid % 5 == 0, F.concat(F.lit('  "'), F.col("last_name"), F.lit('" ')))\
+        .otherwise(F.col("last_name"))
+    csv_line = F.concat_ws(",", club_text, last_cell, F.coalesce("first_name", F.lit("")),
+                           F.concat(F.lit(" "), F.col("position")),
+                           _csv_quote(money["base_salary"]), _csv_quote(money["guaranteed_comp"]))
+    first = F.col("first_name")
+    pos = F.nullif(F.col("position"), F.lit(""))
+    club_first_toks = F.array(club_text, F.col("last_name"), first, pos,
+                              money["base_salary"], money["guaranteed_comp"])
+    names_first_toks = F.array(first, F.col("last_name"), club_text, pos,
+                               money["base_salary"], money["guaranteed_comp"])
+    toks = F.when(names_first, names_first_toks).otherwise(club_first_toks)
+    pdf_line = F.when(rid % 3 == 0, F.array_join(toks, "\t ")).otherwise(F.array_join(toks, " "))
+    src = F.concat(F.lit("pay-"), F.col("year").cast("string"))
+    fmt = F.when(is_csv, F.lit("csv")).otherwise(F.lit("pdf"))
+    data = p.select(src.alias("source_id"), "year", fmt.alias("source_format"),
+                    (rid * 10 + 10).alias("row_no"),
+                    F.when(is_csv, csv_line).otherwise(pdf_line).alias("line"))
+    noise = p.filter((rid % 97 == 1) | (rid % 89 == 3)).select(
+        src.alias("source_id"), "year", fmt.alias("source_format"),
+        (rid * 10 + 15).alias("row_no"),
+        F.when(rid % 97 == 1, F.lit("   "))
+         .when(is_csv, F.lit('SUBTOTAL,"$1"')).otherwise(F.lit("Total $1")).alias("line"))
+    years = p.select("year").distinct()
+    y_src = F.concat(F.lit("pay-"), F.col("year").cast("string"))
+    y_fmt = F.when(F.col("year") % 2 == 1, F.lit("csv")).otherwise(F.lit("pdf"))
+    title = years.select(y_src.alias("source_id"), "year", y_fmt.alias("source_format"),
+                         F.lit(0).cast("bigint").alias("row_no"),
+                         F.concat(F.col("year").cast("string"),
+                                  F.lit(TITLE.replace("{year}", ""))).alias("line"))
+    header = years.select(y_src.alias("source_id"), "year", y_fmt.alias("source_format"),
+                          F.lit(1).cast("bigint").alias("row_no"),
+                          F.when(F.col("year") % 2 == 1, F.lit(CSV_HEADER))
+                           .when(F.col("year") % 4 == 0, F.lit(PDF_HEADER_NAMES_FIRST))
+                           .otherwise(F.lit(PDF_HEADER_CLUB_FIRST)).alias("line"))
+    return data.unionByName(noise).unionByName(title).unionByName(header)
+
+
+def raw_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_pay_lines`` parsed into raw rows: CSV lines into stripped cells, PDF lines
+    into whitespace tokens.
+
+    The result is checkpointed into ``spark.checkpoint.dir`` — it stands for document
+    rows that live in storage. Without the cut, the optimizer's constraint inference
+    over the derived lineage (four unioned joins feeding a long expression chain) grows
+    beyond driver memory."""
+    from .documents import csv_cells, line_tokens
+    lines = raw_pay_lines(spark, sf_dir)
+    tokens = F.when(F.col("source_format") == "csv", csv_cells(F.col("line"))) \
+        .otherwise(line_tokens(F.col("line")))
+    rows = lines.select("source_id", "year", "source_format", "row_no", tokens.alias("tokens"))
+    return cut_lineage(rows)
+
+
+def dirty_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer with messy text fields built from its columns:
+    money_raw, name_raw, code_raw, text_raw, jersey_raw (and the clean sources)."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    k = F.col("c_custkey")
+    acct = _money(F.col("c_acctbal"))
+    fmt = F.format_number(acct, 2)
+    plain = acct.cast("string")
+    money_raw = (F.when(k % 8 == 0, F.concat(F.lit("$"), fmt))
+                 .when(k % 8 == 1, F.concat(fmt, F.lit("$")))
+                 .when(k % 8 == 2, F.concat(F.lit("  $"), plain, F.lit("\t")))
+                 .when(k % 8 == 3, F.lit(""))
+                 .when(k % 8 == 4, F.lit(None).cast("string"))
+                 .when(k % 8 == 5, F.lit("-"))
+                 .when(k % 8 == 6, F.concat(plain, F.lit(".5")))
+                 .otherwise(F.concat(F.lit("$ "), fmt)))
+    name = F.col("c_name")
+    name_raw = (F.when(k % 5 == 0, F.concat(F.lit('  "'), name, F.lit('"  ')))
+                .when(k % 5 == 1, F.concat(F.lit("'"), name, F.lit("'")))
+                .when(k % 5 == 2, F.concat(F.lit("\"'"), name, F.lit("'\"")))
+                .when(k % 5 == 3, F.concat(F.lit("\t"), name, F.lit(" \n")))
+                .otherwise(F.lit(None).cast("string")))
+    mkt = F.col("c_mktsegment")
+    code_raw = (F.when(k % 4 == 0, F.concat(F.lit(" "), F.lower(F.substring(mkt, 1, 3)), F.lit("-f ")))
+                .when(k % 4 == 1, F.concat(F.substring(mkt, 1, 2), F.lit("/"), F.substring(mkt, 3, 1)))
+                .when(k % 4 == 2, mkt)
+                .otherwise(F.lit("")))
+    text_raw = F.concat(F.replace(name, F.lit("#"), F.lit(":  \t(#")),
+                        F.when(k % 3 == 0, F.lit(" Ht. (cm)")).when(k % 3 == 1, F.lit("  "))
+                        .otherwise(F.lit("")))
+    jersey_raw = (F.when(k % 3 == 0, F.concat(F.lit("#"), (k % 100).cast("string")))
+                  .when(k % 3 == 1, F.concat(F.lit("No. "), (k % 10).cast("string"), F.lit(" / 8")))
+                  .otherwise(F.lit("--")))
+    return c.select(k.alias("id"), money_raw.alias("money_raw"), name_raw.alias("name_raw"),
+                    code_raw.alias("code_raw"), text_raw.alias("text_raw"),
+                    jersey_raw.alias("jersey_raw"), name.alias("c_name"))
