@@ -66,3 +66,11 @@ DIRTY_STRINGS = """dirty_strings AS (
 
 # Whitespace class equal to Python's str.split() set, for RE2.
 WS = r"[\t\n\x{0b}\f\r \x{1c}-\x{1f}\x{85}\p{Z}]"
+
+
+# Pages of ``link_pages`` are generated from orders; the oracle rebuilds their links.
+LINKS = """links AS (
+  SELECT o_orderkey AS page_id, CAST(year(o_orderdate) + 25 AS INTEGER) AS y, o_orderkey AS k,
+         lower(replace(replace(n_name, '_', '-'), ' ', '-')) AS slug
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+)"""

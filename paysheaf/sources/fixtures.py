@@ -217,3 +217,45 @@ def dirty_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(k.alias("id"), money_raw.alias("money_raw"), name_raw.alias("name_raw"),
                     code_raw.alias("code_raw"), text_raw.alias("text_raw"),
                     jersey_raw.alias("jersey_raw"), name.alias("c_name"))
+
+
+def team_slug(name: Column) -> Column:
+    """'NATION_7' -> 'nation-7'."""
+    return F.translate(F.lower(name), "_ ", "--")
+
+
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One captured guide page per order: (page_id, html).
+
+    The page links its club's roster and stats pages and holds a salary-guide block with
+    four links — the order year in the text (.csv for odd keys, .pdf otherwise), the same
+    year only in the address (.CSV / .Pdf, a later link of the same year), a page of an
+    unknown format, and a file without year — plus a season drop-down (year, 'all',
+    year - 1) and its mobile copy."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    geo = geography(spark, sf_dir)
+    d = o.join(c, o.o_custkey == c.c_custkey).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("o_orderkey")
+    # Guide years run 25 years after the order years, into the 2000-2050 window.
+    y = (F.year("o_orderdate") + 25).cast("string")
+    y1 = (F.year("o_orderdate") + 24).cast("string")
+    slug = team_slug(F.col("n_name"))
+    ext1 = F.when(k % 2 == 1, F.lit("csv")).otherwise(F.lit("pdf"))
+    ext2 = F.when(k % 3 == 0, F.lit("CSV")).otherwise(F.lit("Pdf"))
+    html = F.concat(
+        F.lit('<html><body><nav><a href="/clubs/'), slug, F.lit('/roster/">Roster</a> '),
+        F.lit('<a class="x" href="/clubs/'), slug, F.lit('/stats/">Stats</a></nav>'),
+        F.lit('<div class="wrap salaryGuides"><ul>'),
+        F.lit('<li><a href="/files/'), y, F.lit("-guide."), ext1, F.lit('">Fall '), y,
+        F.lit(' <b>Guide</b></a></li>'),
+        F.lit('<li><a href="/files/'), y, F.lit("-update."), ext2, F.lit('">Update</a></li>'),
+        F.lit('<li><a href="/files/notes.html">'), y1, F.lit(" notes</a></li>"),
+        F.lit('<li><a href="/files/summary.pdf">Summary</a></li>'),
+        F.lit("</ul></div>"),
+        F.lit('<select class="mls-o-buttons__dropdown-button"><option value="'), y,
+        F.lit('">'), y, F.lit('</option><option value="all">All</option><option value=" '), y1,
+        F.lit(' ">'), y1, F.lit("</option></select>"),
+        F.lit('<select class="mls-o-buttons__dropdown-button mobile"><option value="1999">1999</option></select>'),
+        F.lit("</body></html>"))
+    return d.select(k.alias("page_id"), html.alias("html"))
