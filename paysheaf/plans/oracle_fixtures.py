@@ -74,3 +74,52 @@ LINKS = """links AS (
          lower(replace(replace(n_name, '_', '-'), ' ', '-')) AS slug
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 )"""
+
+
+# Roster pages (one per order): the player row of the roster table and, every fourth
+# page, the repeated player row of a second table.
+ROSTER = """roster_src AS (
+  SELECT o_orderkey AS page_id, c_custkey, c_name, o_orderpriority, o_orderstatus, c_mktsegment,
+         lower(replace(replace(n_name, '_', '-'), ' ', '-')) AS team_slug
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+),
+roster_raw AS (
+  SELECT page_id, 0 AS table_no, 1 AS row_no, c_name AS player_name,
+    'https://league.example/players/c' || c_custkey || '/' AS player_url,
+    '/img/c' || c_custkey || '.png' AS player_image_thumb,
+    '#' || CAST(c_custkey % 99 AS VARCHAR) AS jersey_number,
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE substr(c_mktsegment, 1, 1) END AS position,
+    CASE WHEN page_id % 2 = 0 THEN 'Senior' ELSE 'Supplemental' END AS roster_category,
+    CASE WHEN page_id % 7 = 0 THEN 'Designated  Player' ELSE NULL END AS player_category,
+    CASE WHEN o_orderstatus = 'F' THEN 'Active' ELSE 'Injured' END AS player_status,
+    team_slug
+  FROM roster_src
+  UNION ALL
+  SELECT page_id, 1, 1, c_name, 'https://league.example/players/c' || c_custkey || '/', NULL, NULL, 'X',
+    NULL, NULL, NULL, team_slug
+  FROM roster_src WHERE page_id % 4 = 0
+)"""
+
+STATS_SRC = """stats_src AS (
+  SELECT event_id AS page_id, event_type AS team_slug, CAST(year(ts) AS INTEGER) AS season,
+    ['general', 'passing', 'attacking', 'defending', 'goalkeeping'][CAST(event_id % 5 AS INTEGER) + 1] AS stat_type,
+    'Player ' || user_id AS player_name, 'https://league.example/players/u' || user_id || '/' AS player_url,
+    '/img/u' || user_id || '.png' AS player_image, upper(event_type) AS club,
+    CAST(event_id % 30 AS VARCHAR) AS games_played,
+    CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value,
+    json_extract_string(props, '$.k') AS k
+  FROM events
+),
+profiles AS (
+  SELECT 'https://league.example/players/u' || (c_custkey * 2) || '/' AS player_url, c_custkey AS fetch_order,
+    c_name AS full_name, '  ' || c_mktsegment || ' ' AS position, '' AS height
+  FROM customer
+  UNION ALL
+  SELECT 'https://league.example/players/u' || (s_suppkey * 3) || '/', 1000000000 + s_suppkey, s_name, 'SUP', NULL
+  FROM supplier
+),
+profile1 AS (
+  SELECT player_url, arg_min(full_name, fetch_order) AS full_name, arg_min(position, fetch_order) AS position,
+    arg_min(height, fetch_order) AS height, bool_or(fetch_order < 1000000000) AS from_customer
+  FROM profiles GROUP BY player_url
+)"""

@@ -259,3 +259,101 @@ def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<select class="mls-o-buttons__dropdown-button mobile"><option value="1999">1999</option></select>'),
         F.lit("</body></html>"))
     return d.select(k.alias("page_id"), html.alias("html"))
+
+
+# Site root used to make relative player links absolute in the fixtures (parameter).
+FIXTURE_BASE_URL = "https://league.example"
+
+
+def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One captured roster page per order: (page_id, team_name, team_slug, html).
+
+    The team is the customer's nation. The roster table lists the customer as a player
+    (link, image, name element, jersey, position, categories, status); every third page adds
+    a row without a player link, every fourth a second roster table that repeats the player
+    (first occurrence wins), every fifth a table without a 'player' header."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority",
+                   "o_orderstatus")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    geo = geography(spark, sf_dir)
+    d = o.join(c, o.o_custkey == c.c_custkey).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("o_orderkey")
+    cid = F.col("c_custkey").cast("string")
+    slug = team_slug(F.col("n_name"))
+    pos = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))\
+        .otherwise(F.concat(F.lit(" "), F.substring("c_mktsegment", 1, 1), F.lit(" ")))
+    category = F.when(k % 2 == 0, F.lit("Senior")).otherwise(F.lit("Supplemental"))
+    pcat = F.when(k % 7 == 0, F.lit("Designated  Player")).otherwise(F.lit(""))
+    status = F.when(F.col("o_orderstatus") == "F", F.lit("Active")).otherwise(F.lit("Injured"))
+    main = F.concat(
+        F.lit('<table class="mls-o-table"><thead><tr><th>Player</th><th>Jersey #</th><th>Position</th>'
+              '<th>Roster Category</th><th>Player Category</th><th>Player Status</th></tr></thead><tbody>'),
+        F.lit('<tr><td><a class="mls-o-table__href" href="/players/c'), cid,
+        F.lit('/"><img src="/img/c'), cid, F.lit('.png"/><span class="short-name"> '),
+        F.col("c_name"), F.lit(' </span></a></td><td>#'), (F.col("c_custkey") % 99).cast("string"),
+        F.lit("</td><td>"), pos, F.lit("</td><td>"), category, F.lit("</td><td>"), pcat,
+        F.lit("</td><td>"), status, F.lit("</td></tr>"),
+        F.when(k % 3 == 0, F.lit("<tr><td>Coach</td><td></td><td>HC</td></tr>")).otherwise(F.lit("")),
+        F.lit("</tbody></table>"))
+    repeat = F.when(k % 4 == 0, F.concat(
+        F.lit('<table><tr><th>Player</th><th>Position</th></tr><tr><td><a href="/players/c'), cid,
+        F.lit('/">'), F.col("c_name"), F.lit("</a></td><td>X</td></tr></table>"))).otherwise(F.lit(""))
+    other = F.when(k % 5 == 0, F.lit("<table><tr><th>Date</th><th>Note</th></tr>"
+                                     "<tr><td>x</td><td>y</td></tr></table>")).otherwise(F.lit(""))
+    html = F.concat(F.lit("<html><body><h1>"), F.col("n_name"), F.lit("</h1>"), main, repeat, other,
+                    F.lit("</body></html>"))
+    return d.select(k.alias("page_id"), F.initcap(F.translate(slug, "-", " ")).alias("team_name"),
+                    slug.alias("team_slug"), html.alias("html"))
+
+
+def stats_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One captured stats page per event: (page_id, team_name, team_slug, season,
+    stat_type, html). Team = event type, season = event year, stat type cycles through the
+    five tables. The stats table keys its columns by CSS class; a totals row with fewer
+    than three cells is mixed in."""
+    from ..schemas import STAT_TYPES
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    uid = F.col("user_id").cast("string")
+    kval = F.get_json_object("props", "$.k")
+    stat_type = F.element_at(F.array(*[F.lit(s) for s in STAT_TYPES]),
+                             (F.col("event_id") % len(STAT_TYPES) + 1).cast("int"))
+    html = F.concat(
+        F.lit('<html><body><table class="mls-o-table"><thead><tr>'
+              '<th class="mls-o-table__header player">Player</th>'
+              '<th class="mls-o-table__header club">Club</th>'
+              '<th class="mls-o-table__header stats-type games_played">GP</th>'
+              '<th class="mls-o-table__header mls-o-table__header--sorted value">Value</th>'
+              '<th class="k">K</th></tr></thead><tbody>'),
+        F.lit('<tr><td class="mls-o-table__cell player"><a href="/players/u'), uid,
+        F.lit('/"><img src="/img/u'), uid, F.lit('.png"><span class="mls-o-table__player-name">Player '),
+        uid, F.lit('</span></a></td><td class="mls-o-table__cell club">'), F.upper(F.col("event_type")),
+        F.lit('</td><td class="mls-o-table__cell games_played">'), (F.col("event_id") % 30).cast("string"),
+        F.lit('</td><td class="mls-o-table__cell mls-o-table__cell--sorted value"> '),
+        F.col("value").cast("decimal(18,2)").cast("string"),
+        F.lit(' </td><td class="k">'), F.coalesce(kval, F.lit("")), F.lit("</td></tr>"),
+        F.lit("<tr><td>Totals</td><td></td></tr></tbody></table></body></html>"))
+    slug = F.col("event_type")
+    return e.select(F.col("event_id").alias("page_id"),
+                    F.initcap(F.translate(slug, "-", " ")).alias("team_name"), slug.alias("team_slug"),
+                    F.year("ts").cast("int").alias("season"), stat_type.alias("stat_type"),
+                    html.alias("html"))
+
+
+def player_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured player profiles: (player_url, fetch_order, profile MAP<STRING,STRING>).
+
+    Customers give profiles of the even user ids ('/players/u<2*custkey>/'), suppliers of
+    the multiples of 3 ('/players/u<3*suppkey>/', fetched later): multiples of 6 have two
+    profiles (the first fetched wins), ids that are neither have none."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_acctbal")
+    url = lambda n: F.concat(F.lit(FIXTURE_BASE_URL + "/players/u"), n.cast("string"), F.lit("/"))
+    cp = c.select(url(F.col("c_custkey") * 2).alias("player_url"), F.col("c_custkey").alias("fetch_order"),
+                  F.create_map(F.lit("full_name"), F.col("c_name"),
+                               F.lit("position"), F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" ")),
+                               F.lit("height"), F.lit("")).alias("profile"))
+    sp = s.select(url(F.col("s_suppkey") * 3).alias("player_url"),
+                  (F.lit(1_000_000_000) + F.col("s_suppkey")).alias("fetch_order"),
+                  F.create_map(F.lit("full_name"), F.col("s_name"),
+                               F.lit("position"), F.lit("SUP")).alias("profile"))
+    return cp.unionByName(sp)
