@@ -121,3 +121,31 @@ def raw_cells_trim(spark, sf):
     r = raw_pay(spark, sf).filter(F.col("source_format") == "csv")
     return r.select("source_id", "row_no", F.array_join("tokens", "|").alias("cells"),
                     F.size("tokens").alias("n_cells"))
+
+
+@query("salary_etl_compat", W + _EXPECTED)
+def salary_etl_compat(spark, sf):
+    """T26 compat mode (code before names, lone '$' kept): same records on these documents."""
+    return _out(_records(spark, sf, compat=True))
+
+
+@query("union_years", W + _EXPECTED)
+def union_years(spark, sf):
+    """Records of the CSV documents and of the PDF documents, parsed separately and
+    combined with UNION ALL by column name."""
+    lookup = ClubLookup.from_dim(club_dim(spark, sf))
+    raw = raw_pay(spark, sf)
+    parts = [E.salary_records(raw.filter(F.col("source_format") == f), lookup) for f in ("csv", "pdf")]
+    return _out(parts[0].unionByName(parts[1]))
+
+
+@query("etl_team_spending", W + f"""
+SELECT club, CAST(SUM(base_salary) AS DOUBLE) AS base_salary,
+  CAST(SUM(guaranteed_comp) AS DOUBLE) AS guaranteed_comp, COUNT(last_name) AS player_count
+FROM (SELECT year, CASE WHEN year % 2 = 1 THEN {_CLUB_TEXT} ELSE club END AS club, last_name,
+             base_salary, guaranteed_comp FROM pay) r
+GROUP BY club""")
+def etl_team_spending(spark, sf):
+    """Flagship: payroll documents -> salary records -> spending per club (T27 + A3)."""
+    from ..operators import analytics as A
+    return A.team_spending(_records(spark, sf))
