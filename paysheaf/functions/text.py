@@ -17,7 +17,6 @@ from ..schemas import MONEY
 # Unicode whitespace as Python sees it (Java's (?U)\s plus the four separator controls).
 WS_CLASS = r"[\s\x1c-\x1f]"
 WS_RUN = r"(?U)" + WS_CLASS + "+"
-_EDGE_WS = r"(?U)^" + WS_CLASS + "+|" + WS_CLASS + "+$"
 # A plain decimal number: optional sign, digits with optional fraction, or a bare fraction.
 _NUMBER = r"(?U)^" + WS_CLASS + r"*[+-]?(\d+\.?\d*|\.\d+)" + WS_CLASS + r"*$"
 
@@ -26,9 +25,16 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Python's whitespace characters (fixed values: what str.strip() removes).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing whitespace (Python ``str.strip``)."""
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    """Remove leading and trailing whitespace (Python ``str.strip``); a character-set trim,
+    no regular expression."""
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def blank(c: Column | str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.clubs import ClubLookup, club_parts, club_start
 from ..functions.text import (clean_code, clean_money, clean_name, looks_like_code,
                               money_positions, split_name_parts, strip)
-from ..session import sized_broadcast
+from ..session import cut_lineage, sized_broadcast
 from .headers import header_table
 
 # One header row per source is broadcast; above this many sources it is shuffle-joined.
@@ -32,7 +32,10 @@ def _blank_row(tokens: Column) -> Column:
 
 
 def data_rows(raw_rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Rows after each source's header row, blank rows dropped, header facts attached."""
+    """Rows after each source's header row, blank rows dropped, header facts attached.
+
+    The header table (one row per source) is broadcast after a size check, so the raw rows
+    are never shuffled; above the bound the join is left to the optimizer."""
     h = sized_broadcast(headers, MAX_BROADCAST_SOURCES)
     rows = raw_rows.join(h, "source_id")
     return rows.filter((F.col("row_no") > F.col("header_row_no"))
@@ -63,11 +66,11 @@ def parse_indexed(rows: DataFrame, active: Column | None = None) -> DataFrame:
         in_range = in_range & (cm(f) < n)
     in_range = in_range & (F.coalesce(cm("position"), F.lit(-1)) < n)
     d = rows.withColumns({
-        "i_club": strip(F.get(c("tokens"), cm("club"))),
-        "i_last_name": clean_name(F.get(c("tokens"), cm("last_name"))),
-        "i_first_name": clean_name(F.get(c("tokens"), cm("first_name"))),
-        "i_position": F.when(cm("position").isNotNull(), clean_code(F.get(c("tokens"), cm("position"))))
-                       .otherwise(F.lit("")),
+        "i_club": F.when(on, strip(F.get(c("tokens"), cm("club")))),
+        "i_last_name": F.when(on, clean_name(F.get(c("tokens"), cm("last_name")))),
+        "i_first_name": F.when(on, clean_name(F.get(c("tokens"), cm("first_name")))),
+        "i_position": F.when(on & cm("position").isNotNull(),
+                             clean_code(F.get(c("tokens"), cm("position")))).otherwise(F.lit("")),
         "i_base_salary": F.when(on, clean_money(F.get(c("tokens"), cm("base_salary")))),
         "i_guaranteed_comp": F.when(on, clean_money(F.get(c("tokens"), cm("guaranteed_comp")))),
     })
@@ -149,7 +152,9 @@ def salary_records(raw_rows: DataFrame, lookup: ClubLookup, compat: bool = False
     """raw_rows(source_id, year, source_format, row_no, tokens) -> salary records
     (year, club, last_name, first_name, position, base_salary, guaranteed_comp,
     source_id, row_no). Sources without a header row yield nothing."""
-    h = header_table(raw_rows) if headers is None else headers
+    # Materialised once: the size check and the broadcast then read the small result
+    # instead of scanning the raw rows again.
+    h = cut_lineage(header_table(raw_rows)) if headers is None else headers
     rows = data_rows(raw_rows, h)
     rows = rows.withColumn("index_route", index_route(F.col("source_format"), F.col("cmap")))
     rows = parse_indexed(rows, active=F.col("index_route"))

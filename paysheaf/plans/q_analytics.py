@@ -23,7 +23,7 @@ def _mean(c: str) -> str:
 
 
 def _median(c: str) -> str:
-    return f"round_even(round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6), 2)"
+    return f"CAST(round_even(CAST(quantile_cont(CAST({c} AS DOUBLE), 0.5) AS DECIMAL(38,6)), 2) AS DOUBLE)"
 
 
 def _sum(c: str) -> str:
@@ -169,10 +169,10 @@ def top_n_per_year(spark, sf):
 _DIST = """SELECT COUNT(*) AS count, {mean} AS mean, {median} AS median,
   round_even(stddev_samp(CAST(guaranteed_comp AS DOUBLE)), 2) AS std,
   CAST(MIN(guaranteed_comp) AS DOUBLE) AS min, CAST(MAX(guaranteed_comp) AS DOUBLE) AS max,
-  round_even(round(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.25), 6), 2) AS q25,
-  round_even(round(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.75), 6), 2) AS q75,
-  round_even(round(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.90), 6), 2) AS q90,
-  round_even(round(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.99), 6), 2) AS q99
+  CAST(round_even(CAST(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.25) AS DECIMAL(38,6)), 2) AS DOUBLE) AS q25,
+  CAST(round_even(CAST(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.75) AS DECIMAL(38,6)), 2) AS DOUBLE) AS q75,
+  CAST(round_even(CAST(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.90) AS DECIMAL(38,6)), 2) AS DOUBLE) AS q90,
+  CAST(round_even(CAST(quantile_cont(CAST(guaranteed_comp AS DOUBLE), 0.99) AS DECIMAL(38,6)), 2) AS DOUBLE) AS q99
 FROM pay {where}"""
 
 
@@ -191,7 +191,7 @@ def salary_distribution_year(spark, sf):
 
 
 @query("salary_percentiles", W + """
-SELECT p, round_even(round(v, 6), 2) AS value
+SELECT p, CAST(round_even(CAST(v AS DECIMAL(38,6)), 2) AS DOUBLE) AS value
 FROM (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]::DOUBLE[]) AS p,
              unnest(quantile_cont(CAST(guaranteed_comp AS DOUBLE),
                                   [0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99])) AS v

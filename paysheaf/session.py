@@ -36,18 +36,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_CKPT: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is missing (tests, local runs) a scratch folder is created
-    and registered; on a cluster the setting is expected to point at shared storage.
+    ``spark.checkpoint.dir`` is a static setting, read here and never overwritten. Only
+    when it is missing (tests, ad-hoc local runs) a scratch folder is registered with
+    ``setCheckpointDir`` for this context.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="paysheaf-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
+    key = id(sc)
+    if key not in _LOCAL_CKPT:
+        _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="paysheaf-ckpt-")
+        sc.setCheckpointDir(_LOCAL_CKPT[key])
+    return _LOCAL_CKPT[key]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

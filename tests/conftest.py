@@ -15,8 +15,8 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from paysheaf.session import get_spark
     s = get_spark("local[4]", 4, app_name="paysheaf-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paysheaf-test-ckpt-"))
+    from paysheaf.session import checkpoint_dir
+    checkpoint_dir(s)
     yield s
 
 
