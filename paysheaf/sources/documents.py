@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS_RUN, strip
 
-# Split on commas that are followed by an even number of quotes (i.e. not inside quotes).
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# One CSV field after the line start or a comma: a quoted field (only when the quote is
+# the field's first character; text after the closing quote belongs to the field) or an
+# unquoted run without commas.
+_CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"[^,]*|[^,]*)'
 
 # Fragmentation test (fixed values): tokens looked at, short-token length, share, minimum.
 FRAG_WINDOW = 50
@@ -52,16 +54,18 @@ def line_tokens(line: Column) -> Column:
 
 
 def _cell(c: Column) -> Column:
-    """Unquote a double-quoted cell ("" inside stands for one quote), then strip it."""
-    quoted = c.rlike(r'(?s)^".*"$')
-    inner = F.replace(F.regexp_extract(c, r'(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))
-    return strip(F.when(quoted, inner).otherwise(c))
+    """Unquote a field that starts with a quote ("" inside stands for one quote, text after
+    the closing quote is kept), then strip it."""
+    inner = F.replace(F.regexp_extract(c, r'^"((?:[^"]|"")*)"', 1), F.lit('""'), F.lit('"'))
+    tail = F.regexp_extract(c, r'^"(?:[^"]|"")*"(.*)$', 1)
+    quoted = c.rlike(r'^"(?:[^"]|"")*"')
+    return strip(F.when(quoted, F.concat(inner, tail)).otherwise(c))
 
 
 def csv_cells(line: Column) -> Column:
     """Cells of one CSV line, unquoted and stripped. An empty line gives no cell."""
     return F.when(line == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(line, _CSV_SPLIT), _cell))
+        F.transform(F.regexp_extract_all(line, F.lit(_CSV_FIELD), 1), _cell))
 
 
 def fragmentation(tokens: Column) -> Column:
