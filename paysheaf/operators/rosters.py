@@ -36,8 +36,9 @@ def _last_index(headers: Column, name: str) -> Column:
     return F.array_max(F.filter(idx, lambda i: i.isNotNull()))
 
 
-def roster_rows(rows: DataFrame, pages: DataFrame, base_url: str, key: str = "page_id") -> DataFrame:
-    """rows: output of ``html_tables.table_rows``; pages: (key, team_name, team_slug).
+def roster_rows(rows: DataFrame, pages: DataFrame | None, base_url: str, key: str = "page_id") -> DataFrame:
+    """rows: output of ``html_tables.table_rows``; pages: (key, team_name, team_slug), or
+    None when ``rows`` already carries team_name and team_slug.
 
     Returns (team_name, team_slug, player_name, player_url, player_image_thumb,
     jersey_number, position, roster_category, player_category, player_status,
@@ -50,13 +51,14 @@ def roster_rows(rows: DataFrame, pages: DataFrame, base_url: str, key: str = "pa
         i = _last_index(F.col("_h"), header)
         val = F.when(i < F.size("cells"), F.nullif(F.get(F.col("cells"), i), F.lit("")))
         fields.append(val.alias(field))
+    carried = [] if pages is not None else ["team_name", "team_slug"]
     r = r.select(
-        key, "table_no", "row_no",
+        key, "table_no", "row_no", *carried,
         F.coalesce("name_text", "link_text").alias("player_name"),
         absolute_url(F.col("link_href"), base_url).alias("player_url"),
         F.col("thumb").alias("player_image_thumb"),
         *fields)
-    return r.join(pages.select(key, "team_name", "team_slug"), key)
+    return r if pages is None else r.join(pages.select(key, "team_name", "team_slug"), key)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

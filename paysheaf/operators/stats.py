@@ -46,9 +46,12 @@ def last_wins_map(entries: Column) -> Column:
     return F.map_from_entries(kept)
 
 
-def stats_rows(rows: DataFrame, pages: DataFrame, base_url: str, key: str = "page_id") -> DataFrame:
+PAGE_FIELDS = ("team_name", "team_slug", "season", "stat_type")
+
+
+def stats_rows(rows: DataFrame, pages: DataFrame | None, base_url: str, key: str = "page_id") -> DataFrame:
     """rows: ``html_tables.table_rows`` of stats pages; pages: (key, team_name, team_slug,
-    season, stat_type). Returns raw stats rows: team_name, team_slug, season, stat_type,
+    season, stat_type), or None when ``rows`` carries those columns. Returns raw stats rows: team_name, team_slug, season, stat_type,
     player_name, player_url, player_image, club, stats MAP<STRING,STRING>."""
     header_keys = F.filter(F.transform("header_classes", lambda c: first_class(c, HEADER_FRAMEWORK_CLASSES)),
                            lambda k: k.isNotNull())
@@ -56,7 +59,8 @@ def stats_rows(rows: DataFrame, pages: DataFrame, base_url: str, key: str = "pag
     r = rows.filter((F.col("table_no") == 0) & (F.size(header_keys) > 0) & body
                     & (F.size("cells") >= MIN_CELLS)
                     & F.coalesce(F.col("link_href").contains("/players/"), F.lit(False)))
-    r = r.join(pages.select(key, "team_name", "team_slug", "season", "stat_type"), key)
+    if pages is not None:
+        r = r.join(pages.select(key, *PAGE_FIELDS), key)
     pairs = F.arrays_zip(F.transform("cell_classes", lambda c: first_class(c, CELL_FRAMEWORK_CLASSES)).alias("k"),
                          F.col("cells").alias("v"))
     stat_pairs = F.filter(pairs, lambda e: e["k"].isNotNull() & ~e["k"].isin(*NON_STAT_KEYS))
@@ -121,24 +125,38 @@ def stats_normalize(raw: DataFrame) -> DataFrame:
     return out.filter(F.col("player_name") != "")
 
 
-def map_keys_of(df: DataFrame, column: str, max_keys: int = MAX_FLAT_KEYS) -> list[str]:
-    """Sorted distinct keys of a map column: a distributed distinct, then a bounded collect
-    (refused above ``max_keys`` — the result must fit a row schema)."""
-    keys = (df.select(F.explode(F.map_keys(column)).alias("k")).distinct()
-            .orderBy("k").limit(max_keys + 1).collect())
-    if len(keys) > max_keys:
-        raise ValueError(f"{column} has more than {max_keys} distinct keys")
-    return [r["k"] for r in keys]
+def map_keys_of(df: DataFrame, columns: list[str] | str, max_keys: int = MAX_FLAT_KEYS) -> dict[str, list[str]]:
+    """Sorted distinct keys of one or more map columns in one job: a distributed distinct
+    of (column, key), then a bounded collect (refused above ``max_keys`` per column — the
+    result must fit a row schema)."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
+
+    def tag(name: str):
+        return lambda k: F.struct(F.lit(name).alias("c"), k.alias("k"))
+    tagged = F.concat(*[F.transform(F.map_keys(c), tag(c)) for c in cols])
+    found = (df.select(F.explode(tagged).alias("e")).select("e.c", "e.k").distinct()
+             .limit(len(cols) * max_keys + 1).collect())
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in found:
+        out[r["c"]].append(r["k"])
+    for c, ks in out.items():
+        if len(ks) > max_keys:
+            raise ValueError(f"{c} has more than {max_keys} distinct keys")
+        ks.sort()
+    return out
 
 
 def flatten_map(df: DataFrame, column: str, prefix: str, keys: list[str] | None = None) -> DataFrame:
     """Replace a map column by one column per key (``prefix + key``), keys sorted."""
-    keys = map_keys_of(df, column) if keys is None else sorted(keys)
+    keys = map_keys_of(df, column)[column] if keys is None else sorted(keys)
     others = [c for c in df.columns if c != column]
     return df.select(*others, *[F.col(column).getItem(k).alias(prefix + k) for k in keys])
 
 
-def flatten_stats(records: DataFrame) -> DataFrame:
-    """Player-stats records -> 7 base columns + sorted ``stat_*`` + sorted ``profile_*``."""
-    flat = flatten_map(records.select(*STATS_BASE_FIELDS, "stats", "profile"), "stats", "stat_")
-    return flatten_map(flat, "profile", "profile_")
+def flatten_stats(records: DataFrame, keys: dict[str, list[str]] | None = None) -> DataFrame:
+    """Player-stats records -> 7 base columns + sorted ``stat_*`` + sorted ``profile_*``
+    (keys of both maps found in one pass unless given)."""
+    d = records.select(*STATS_BASE_FIELDS, "stats", "profile")
+    keys = map_keys_of(d, ["stats", "profile"]) if keys is None else keys
+    flat = flatten_map(d, "stats", "stat_", keys["stats"])
+    return flatten_map(flat, "profile", "profile_", keys["profile"])

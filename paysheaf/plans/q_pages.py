@@ -21,7 +21,7 @@ _RAW_COLS = ["page_id", "table_no", "row_no", "player_name", "player_url", "play
 
 def _raw(spark, sf):
     pages = roster_pages(spark, sf)
-    return R.roster_rows(table_rows(pages), pages, FIXTURE_BASE_URL)
+    return R.roster_rows(table_rows(pages, keep=("team_name", "team_slug")), None, FIXTURE_BASE_URL)
 
 
 @query("html_roster_rows", W + f"SELECT {', '.join(_RAW_COLS)} FROM roster_raw")

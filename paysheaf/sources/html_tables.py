@@ -161,19 +161,32 @@ def _page_rows(page_id: int, html: str) -> Iterator[tuple]:
                    _text(r["name"]) if isinstance(r["name"], list) else None, r["thumb"])
 
 
-def _map_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _mapper(keep: tuple[str, ...]):
     cols = [f.name for f in ROW_SCHEMA.fields]
-    for b in batches:
-        out = []
-        for pid, html in zip(b["page_id"], b["html"]):
-            out.extend(_page_rows(int(pid), html))
-        yield pd.DataFrame(out, columns=cols)
 
-
-def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out, extra = [], {k: [] for k in keep}
+            for i, (pid, html) in enumerate(zip(b["page_id"], b["html"])):
+                rows = list(_page_rows(int(pid), html))
+                out.extend(rows)
+                for k in keep:
+                    extra[k].extend([b[k].iloc[i]] * len(rows))
+            frame = pd.DataFrame(out, columns=cols)
+            for k in keep:
+                frame[k] = pd.Series(extra[k], dtype=b[k].dtype if len(extra[k]) else "object")
+            yield frame
+    return run
+
+
+def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """(page_id, table_no, table_class, has_tbody, row_no, in_tbody, headers, header_classes,
-    cells, cell_classes, link_href, link_class, link_text, name_text, thumb) for every
-    ``<tr>`` with at least one ``<td>``."""
-    src = pages.select(pages[key].cast("long").alias("page_id"), pages[html].alias("html"))
-    out = src.mapInPandas(_map_pages, ROW_SCHEMA)
+    cells, cell_classes, link_href, link_class, link_text, name_text, thumb, *keep) for
+    every ``<tr>`` with at least one ``<td>``. ``keep`` page columns (team, season, ...) are
+    carried along, so no join back to the pages is needed."""
+    src = pages.select(pages[key].cast("long").alias("page_id"), pages[html].alias("html"),
+                       *[pages[k] for k in keep])
+    schema = T.StructType(ROW_SCHEMA.fields + [pages.schema[k] for k in keep])
+    out = src.mapInPandas(_mapper(tuple(keep)), schema)
     return out if key == "page_id" else out.withColumnRenamed("page_id", key)
