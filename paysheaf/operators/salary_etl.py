@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.clubs import ClubLookup, club_parts, club_start
 from ..functions.text import (clean_code, clean_money, clean_name, looks_like_code,
                               money_positions, split_name_parts, strip)
-from ..session import cut_lineage, sized_broadcast
+from ..session import cut_lineage, sized_broadcast, spread
 from .headers import header_table
 
 # One header row per source is broadcast; above this many sources it is shuffle-joined.
@@ -37,7 +37,7 @@ def data_rows(raw_rows: DataFrame, headers: DataFrame) -> DataFrame:
     The header table (one row per source) is broadcast after a size check, so the raw rows
     are never shuffled; above the bound the join is left to the optimizer."""
     h = sized_broadcast(headers, MAX_BROADCAST_SOURCES)
-    rows = raw_rows.join(h, "source_id")
+    rows = spread(raw_rows).join(h, "source_id")
     return rows.filter((F.col("row_no") > F.col("header_row_no"))
                        & (F.size("tokens") > 0) & ~_blank_row(F.col("tokens")))
 

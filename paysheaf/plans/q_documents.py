@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import documents as D
+from ..session import spread
 from ..sources.tables import read_table
 from .catalog import query
 from .oracle_fixtures import WS
@@ -19,7 +20,7 @@ FROM (SELECT doc_id, row_no, {_TOKENS.replace('@X@', 'line')} AS toks
             FROM (SELECT doc_id, string_split_regex(text, '\\r?\\n') AS l FROM documents) a) b) c""")
 def line_tokens(spark, sf):
     """Every line of every document -> whitespace tokens."""
-    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    docs = spread(read_table(spark, sf, "documents", "doc_id", "text"))
     lines = D.text_lines(docs, "text", keep=("doc_id",))
     toks = D.line_tokens(F.col("line"))
     return lines.select("doc_id", F.col("row_no").cast("bigint").alias("row_no"),
@@ -37,7 +38,7 @@ SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens,
 FROM (SELECT doc_id, {_TOKENS.replace('@X@', 'text')} AS toks FROM documents) d""")
 def text_fragmentation(spark, sf):
     """Share of very short tokens among the first 50 of each whole document."""
-    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    docs = spread(read_table(spark, sf, "documents", "doc_id", "text"))
     toks = D.line_tokens(F.col("text"))
     frag = D.fragmentation(toks)
     return docs.select("doc_id", F.size(toks).cast("bigint").alias("n_tokens"),

@@ -79,3 +79,14 @@ def scratch_dir(prefix: str = "paysheaf-") -> str:
     """A fresh local folder for tests and local round trips (never used on a cluster)."""
     base = os.environ.get("PAYSHEAF_SCRATCH")
     return tempfile.mkdtemp(prefix=prefix, dir=base)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row stages at least ``defaultParallelism`` partitions.
+
+    Small inputs (one Parquet file, one row group) arrive as a single partition and would
+    run on one core; those are repartitioned round-robin. Inputs that already have enough
+    splits — the normal case on a cluster — are returned untouched, so no shuffle is added.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

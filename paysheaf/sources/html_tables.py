@@ -1,21 +1,31 @@
-"""HTML tables of captured pages -> one row per table row (the only Python on executors).
-
-``table_rows`` runs a small stdlib ``html.parser`` tokenizer per page inside
-``mapInPandas`` (Arrow batches; pages are spread over the input partitions, one page is
-never split or merged with others). It emits neutral facts per ``<tr>`` — header texts and
-classes of its table, cell texts and classes, the first player link with its name element
-and image. Everything after that (which tables count, header -> field mapping, key
-prefixes, cleaning) is column expressions in ``operators/rosters.py`` and
-``operators/stats.py``.
+"""HTML tables of captured pages -> one row per table row.
+
+``table_rows`` emits neutral facts per ``<tr>`` — header texts and classes of its table,
+cell texts and classes, the first player link with its name element and image.
+Everything after that (which tables count, header -> field mapping, key prefixes,
+cleaning) is column expressions in ``operators/rosters.py`` and ``operators/stats.py``.
+
+Two engines produce the same columns:
+
+* ``"jvm"`` (default): regular expressions and array functions in the JVM — tables,
+  rows and cells are pulled out with ``regexp_extract_all`` and exploded with their
+  positions. Needs well-formed tables (closed ``</table>``, ``</tr>``, ``<td>``/``</td>``,
+  no nested tables) and decodes the common named entities only.
+* ``"python"``: a forgiving tokenizer per page inside ``mapInPandas`` (Arrow batches):
+  a C-backed ``re`` scan of tags and text feeding a small state machine (implicitly
+  closed cells, unclosed rows, entities via ``html.unescape``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROW_SCHEMA = T.StructType([
@@ -137,6 +147,45 @@ class _Tokenizer(HTMLParser):
                 self.row["name"].append(data)
 
 
+_TOKEN = re.compile(
+    r"<!--.*?-->|<![^>]*>|<(script|style)\b[^>]*>.*?</\1\s*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|([^<]+)|<",
+    re.S | re.I)
+_ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_VOID = frozenset(("img", "br", "meta", "link", "input", "hr", "area", "base", "col", "embed",
+                   "source", "track", "wbr"))
+
+
+def _attrs(raw: str) -> list[tuple[str, str | None]]:
+    out = []
+    for m in _ATTR.finditer(raw):
+        v = m.group(2) if m.group(2) is not None else m.group(3) if m.group(3) is not None else m.group(4)
+        out.append((m.group(1).lower(), unescape(v) if v is not None else None))
+    return out
+
+
+def _scan(tok: "_Tokenizer", page: str) -> None:
+    """Feed the tokenizer's handlers from a regular-expression scan of the page (tags,
+    text, comments and script/style blocks skipped) instead of ``HTMLParser.feed``."""
+    for m in _TOKEN.finditer(page):
+        text = m.group(5)
+        if text is not None:
+            tok.handle_data(unescape(text) if "&" in text else text)
+            continue
+        tag = m.group(3)
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if m.group(2):
+            tok.handle_endtag(tag)
+            continue
+        raw = m.group(4)
+        attrs = _attrs(raw) if raw.strip(" /") else []
+        if raw.endswith("/") and tag not in _VOID:
+            tok.handle_startendtag(tag, attrs)
+        else:
+            tok.handle_starttag(tag, attrs)
+
+
 def _text(pieces: list[str] | None) -> str | None:
     if pieces is None:
         return None
@@ -146,8 +195,7 @@ def _text(pieces: list[str] | None) -> str | None:
 def _page_rows(page_id: int, html: str) -> Iterator[tuple]:
     tok = _Tokenizer()
     try:
-        tok.feed(html or "")
-        tok.close()
+        _scan(tok, html or "")
     except Exception:  # noqa: BLE001 - a broken page yields what was read before the error
         pass
     for t_no, t in enumerate(tok.tables):
@@ -180,13 +228,103 @@ def _mapper(keep: tuple[str, ...]):
 
 
 def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
-               keep: tuple[str, ...] = ()) -> DataFrame:
+               keep: tuple[str, ...] = (), engine: str = "jvm") -> DataFrame:
     """(page_id, table_no, table_class, has_tbody, row_no, in_tbody, headers, header_classes,
     cells, cell_classes, link_href, link_class, link_text, name_text, thumb, *keep) for
     every ``<tr>`` with at least one ``<td>``. ``keep`` page columns (team, season, ...) are
     carried along, so no join back to the pages is needed."""
+    from ..session import spread
+    pages = spread(pages)
+    if engine == "jvm":
+        return _table_rows_jvm(pages, key, html, keep)
     src = pages.select(pages[key].cast("long").alias("page_id"), pages[html].alias("html"),
                        *[pages[k] for k in keep])
     schema = T.StructType(ROW_SCHEMA.fields + [pages.schema[k] for k in keep])
     out = src.mapInPandas(_mapper(tuple(keep)), schema)
     return out if key == "page_id" else out.withColumnRenamed("page_id", key)
+
+
+# --- JVM engine ------------------------------------------------------------------------------
+
+_TABLE = r"(?is)<table\b[^>]*>.*?</table>"
+_TR = r"(?is)<tr\b[^>]*>(.*?)</tr>"
+_TH = r"(?is)<th\b([^>]*)>(.*?)</th>"
+_TD = r"(?is)<td\b([^>]*)>(.*?)</td>"
+_A = r"(?is)<a\b([^>]*)>(.*?)</a>"
+# Named entities decoded in text (fixed values); numeric references stay as written.
+_ENTITIES = (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+             ("&apos;", "'"), ("&amp;", "&"))
+
+
+def _attr(attrs: Column, name: str) -> Column:
+    """Value of one attribute in an attribute string (NULL when absent)."""
+    pat = r"(?is)(?:^|\s)" + name + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    found = F.regexp_like(attrs, F.lit(pat))
+    return F.when(found, F.concat(F.regexp_extract(attrs, pat, 1), F.regexp_extract(attrs, pat, 2)))
+
+
+def _decode(c: Column) -> Column:
+    for ent, ch in _ENTITIES:
+        c = F.replace(c, F.lit(ent), F.lit(ch))
+    return c
+
+
+def get_text(inner: Column) -> Column:
+    """Text of an element: every text piece between tags decoded and stripped, blanks
+    dropped, the rest joined without separator."""
+    from ..functions.text import strip
+    pieces = F.transform(F.split(inner, r"<[^>]*>"), lambda p: strip(_decode(p)))
+    return F.array_join(F.filter(pieces, lambda p: p != ""), "")
+
+
+def _name_text(link_inner: Column) -> Column:
+    pat = (r"(?is)<(\w+)\b[^>]*\bclass\s*=\s*[\"'][^\"']*\b(?:"
+           + "|".join(NAME_CLASSES) + r")\b[^\"']*[\"'][^>]*>(.*?)</\1>")
+    return F.when(F.regexp_like(link_inner, F.lit(pat)), get_text(F.regexp_extract(link_inner, pat, 2)))
+
+
+def _table_rows_jvm(pages: DataFrame, key: str, html: str, keep: tuple[str, ...]) -> DataFrame:
+    src = pages.select(pages[key].cast("long").alias("page_id"), pages[html].alias("html"),
+                       *[pages[k] for k in keep])
+    t = src.select("page_id", *keep,
+                   F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(_TABLE), 0)).alias("table_no", "t"))
+    head = F.regexp_extract(F.col("t"), r"(?is)^<table\b([^>]*)>", 1)
+    before_tbody = F.regexp_extract(F.col("t"), r"(?is)^(.*?)<tbody\b", 1)
+    tbody = F.regexp_extract(F.col("t"), r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
+    t = t.select(
+        "page_id", *keep, "table_no",
+        F.coalesce(_attr(head, "class"), F.lit("")).alias("table_class"),
+        F.regexp_like(F.col("t"), F.lit(r"(?is)<tbody\b")).alias("has_tbody"),
+        F.size(F.regexp_extract_all(before_tbody, F.lit(_TR), 1)).alias("_n_before"),
+        F.size(F.regexp_extract_all(tbody, F.lit(_TR), 1)).alias("_n_body"),
+        F.transform(F.regexp_extract_all(F.col("t"), F.lit(_TH), 2), get_text).alias("headers"),
+        F.transform(F.regexp_extract_all(F.col("t"), F.lit(_TH), 1),
+                    lambda a: F.coalesce(_attr(a, "class"), F.lit(""))).alias("header_classes"),
+        F.posexplode(F.regexp_extract_all(F.col("t"), F.lit(_TR), 1)).alias("row_no", "r"))
+    anchors = F.arrays_zip(F.regexp_extract_all(F.col("r"), F.lit(_A), 1).alias("a"),
+                           F.regexp_extract_all(F.col("r"), F.lit(_A), 2).alias("inner"))
+    player = F.filter(anchors, lambda x: F.coalesce(
+        _attr(x["a"], "href").contains("/players/")
+        | F.array_contains(F.split(F.coalesce(_attr(x["a"], "class"), F.lit("")), r"\s+"), "mls-o-table__href"),
+        F.lit(False)))
+    t = t.withColumns({
+        "cells": F.transform(F.regexp_extract_all(F.col("r"), F.lit(_TD), 2), get_text),
+        "cell_classes": F.transform(F.regexp_extract_all(F.col("r"), F.lit(_TD), 1),
+                                    lambda a: F.coalesce(_attr(a, "class"), F.lit(""))),
+        "_link": F.get(player, 0),
+    })
+    link_inner = F.col("_link.inner")
+    out = t.filter(F.size("cells") > 0).select(
+        "page_id", "table_no", "table_class", "has_tbody", F.col("row_no").cast("int").alias("row_no"),
+        ((F.col("row_no") >= F.col("_n_before")) & (F.col("row_no") < F.col("_n_before") + F.col("_n_body")))
+        .alias("in_tbody"),
+        "headers", "header_classes", "cells", "cell_classes",
+        _attr(F.col("_link.a"), "href").alias("link_href"),
+        F.when(F.col("_link").isNotNull(), _attr(F.col("_link.a"), "class")).alias("link_class"),
+        F.when(F.col("_link").isNotNull(), get_text(link_inner)).alias("link_text"),
+        _name_text(link_inner).alias("name_text"),
+        F.nullif(F.regexp_extract(link_inner, r"(?is)<img\b[^>]*?\bsrc\s*=\s*\"([^\"]*)\"", 1), F.lit(""))
+        .alias("thumb"),
+        *keep)
+    out = out.withColumn("table_no", F.col("table_no").cast("int"))
+    return out if key == "page_id" else out.withColumnRenamed("page_id", key)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_ws, strip
+from ..session import spread
 
 # --- fixed values -------------------------------------------------------------------------
 # A year between 2000 and 2050, first match in the text.
@@ -63,7 +64,7 @@ def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     ``text`` is the anchor text without tags, whitespace-collapsed; ``year`` comes from the
     text, else from the address; ``format`` from the address. Links without year or format
     are kept here (NULL) — ``guide_sources`` drops them."""
-    ex = pages.select(key, F.posexplode(anchors(guide_block(F.col(html)))).alias("pos", "a"))
+    ex = spread(pages).select(key, F.posexplode(anchors(guide_block(F.col(html)))).alias("pos", "a"))
     text = collapse_ws(F.regexp_replace(F.col("a.text"), r"<[^>]*>", " "))
     href = strip(F.col("a.href"))
     return ex.select(key, "pos", href.alias("href"), text.alias("text"),
@@ -96,7 +97,7 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
     first_key, first_pos) — one row per slug, the first occurrence decides its rank.
 
     The display name is the slug with '-' as spaces in title case."""
-    hrefs = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_HREF), 1))
+    hrefs = spread(pages).select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_HREF), 1))
                          .alias("pos", "href"))
     slug = F.regexp_extract("href", r"/clubs/([^/]+)/" + kind, 1)
     found = hrefs.select(key, "pos", slug.alias("slug")).filter(F.col("slug") != "")
@@ -121,5 +122,5 @@ def season_options(pages: DataFrame, key: str = "page_id", html: str = "html") -
     values = F.regexp_extract_all(body, F.lit(r'(?is)<option\b[^>]*?value\s*=\s*"([^"]*)"'), 1)
     ints = F.transform(values, lambda v: F.when(strip(v).rlike(r"^[+-]?[0-9]+$"),
                                                 strip(v).try_cast("int")))
-    out = pages.select(key, F.posexplode(ints).alias("pos", "season"))
+    out = spread(pages).select(key, F.posexplode(ints).alias("pos", "season"))
     return out.filter(F.col("season").isNotNull())
