@@ -73,31 +73,44 @@ def dedupe_players(raw: DataFrame) -> DataFrame:
     return first_per_key(raw, ["team_slug", "player_url"], ["page_id", "table_no", "row_no"])
 
 
+PROFILE_FACTS = ("player_image", "team_logo", "full_name", "club_slug", "jersey_number_profile")
+
+
 def roster_normalize(raw: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
     """Raw player rows -> player records (``PLAYER_FIELDS`` + ``profile`` map).
 
-    With ``profiles`` (player_url, profile map), profile values win over roster values for
-    jersey, position and the two categories when set; the profile map keeps the set
-    entries. Rows whose cleaned name is blank are dropped."""
+    ``profiles``: profile facts (player_url, profile map, player_image, team_logo,
+    full_name, club_slug, jersey_number_profile), one row per URL — e.g. from
+    ``sources.profiles.profile_facts``. Profile values win over roster values for jersey,
+    position and the two categories when set; the output ``profile`` map holds the set
+    detail items (cleaned) plus full_name and club_slug. Rows whose cleaned name is blank
+    are dropped."""
+    empty = F.create_map().cast("map<string,string>")
     d = raw
     if profiles is not None:
-        d = d.join(profiles.select("player_url", "profile"), "player_url", "left")
+        d = d.join(profiles.select("player_url", "profile", *PROFILE_FACTS), "player_url", "left")
     else:
-        d = d.withColumn("profile", F.create_map().cast("map<string,string>"))
-    p = lambda k: F.col("profile").getItem(k)
+        d = d.withColumn("profile", empty)
+        for c in PROFILE_FACTS:
+            d = d.withColumn(c, F.lit(None).cast("string"))
+    details = F.coalesce(F.col("profile"), empty)
+    p = lambda k: details.getItem(k)
+    extra = F.map_from_entries(F.filter(F.array(
+        F.struct(F.lit("full_name").alias("k"), F.col("full_name").alias("v")),
+        F.struct(F.lit("club_slug").alias("k"), F.col("club_slug").alias("v"))), lambda e: ~blank(e["v"])))
+    kept = F.transform_values(F.map_filter(details, lambda k, v: ~blank(v)), lambda k, v: blank_to_null(v))
+    profile_out = F.map_concat(F.map_filter(kept, lambda k, v: ~F.map_contains_key(extra, k)), extra)
     name = collapse_ws(F.col("player_name"))
-    profile = F.map_filter(F.coalesce(F.col("profile"), F.create_map().cast("map<string,string>")),
-                           lambda k, v: ~blank(v))
     out = d.select(
         F.col("team_name"), F.col("team_slug"), name.alias("player_name"), F.col("player_url"),
-        first_digits(prefer_nonblank(p("jersey_number"), F.col("jersey_number"))).alias("jersey_number"),
+        first_digits(prefer_nonblank(F.col("jersey_number_profile"), F.col("jersey_number"))).alias("jersey_number"),
         strip_if_set(prefer_nonblank(p("position"), F.col("position"))).alias("position"),
         blank_to_null(prefer_nonblank(p("roster_category"), F.col("roster_category"))).alias("roster_category"),
         blank_to_null(prefer_nonblank(p("player_category"), F.col("player_category"))).alias("player_category"),
         blank_to_null(F.col("player_status")).alias("player_status"),
         F.col("player_image_thumb"),
-        p("player_image").alias("player_image"),
-        p("team_logo").alias("team_logo"),
-        F.transform_values(profile, lambda k, v: blank_to_null(v)).alias("profile"),
+        F.col("player_image"),
+        F.col("team_logo"),
+        profile_out.alias("profile"),
     )
     return out.filter(F.col("player_name") != "").select(*PLAYER_FIELDS, "profile")

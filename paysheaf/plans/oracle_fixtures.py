@@ -123,3 +123,16 @@ profile1 AS (
     arg_min(height, fetch_order) AS height, bool_or(fetch_order < 1000000000) AS from_customer
   FROM profiles GROUP BY player_url
 )"""
+
+
+PROFILE_SRC = """profile_src AS (
+  SELECT c_custkey AS page_id, 'https://league.example/players/c' || c_custkey || '/' AS player_url,
+    'date_of_birth=19' || CAST(70 + c_custkey % 30 AS VARCHAR) || ' (age ?);height_cm='
+      || CASE WHEN c_custkey % 4 = 0 THEN '199' ELSE CAST(170 + c_custkey % 30 AS VARCHAR) END
+      || ';position=' || c_mktsegment AS details,
+    '/big/c' || c_custkey || '.jpg' AS player_image, c_name AS full_name,
+    '/logo/' || lower(replace(replace(n_name, '_', '-'), ' ', '-')) || '.svg' AS team_logo,
+    lower(replace(replace(n_name, '_', '-'), ' ', '-')) AS club_slug,
+    CAST(c_custkey % 99 AS VARCHAR) AS jersey_number_profile, c_mktsegment
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+)"""

@@ -10,7 +10,7 @@ from ..schemas import PLAYER_FIELDS
 from ..sources.fixtures import FIXTURE_BASE_URL, roster_pages
 from ..sources.html_tables import table_rows
 from .catalog import query
-from .oracle_fixtures import ROSTER, with_
+from .oracle_fixtures import PROFILE_SRC, ROSTER, with_
 
 W = with_(ROSTER)
 TEAM = "nation-7"
@@ -72,3 +72,35 @@ SELECT player_url, player_name FROM first_rows WHERE team_slug = '{TEAM}'""")
 def filter_eq(spark, sf):
     """the players of one team (slug equality)."""
     return _players(spark, sf).filter(F.col("team_slug") == TEAM).select("player_url", "player_name")
+
+
+def _facts(spark, sf):
+    from ..sources.fixtures import profile_pages
+    from ..sources.profiles import profile_facts
+    return profile_facts(profile_pages(spark, sf), keep=("player_url",))
+
+
+@query("html_profile_map", with_(PROFILE_SRC) + """
+SELECT page_id, details AS profile, player_image, full_name, team_logo, club_slug, jersey_number_profile
+FROM profile_src""")
+def html_profile_map(spark, sf):
+    """Profile pages -> detail map (keys normalised, blanks dropped, last wins),
+    image, full name, club logo and slug, jersey number."""
+    from .q_stats import map_text
+    f = _facts(spark, sf)
+    return f.select("page_id", map_text(F.col("profile")).alias("profile"), "player_image", "full_name",
+                    "team_logo", "club_slug", "jersey_number_profile")
+
+
+@query("roster_with_profile", W[:-1] + ",\n" + _FIRST + ",\n" + PROFILE_SRC + """
+SELECT f.player_url, p.jersey_number_profile AS jersey_number, p.c_mktsegment AS position,
+  f.roster_category, p.player_image, p.team_logo,
+  'club_slug=' || p.club_slug || ';'
+    || replace(p.details, ';height_cm=', ';full_name=' || p.full_name || ';height_cm=') AS profile
+FROM first_rows f JOIN profile_src p ON f.player_url = p.player_url""")
+def roster_with_profile(spark, sf):
+    """Roster players ⟕ their profile facts; profile values preferred."""
+    from .q_stats import map_text
+    players = R.roster_normalize(R.dedupe_players(_raw(spark, sf)), _facts(spark, sf))
+    return players.select("player_url", "jersey_number", "position", "roster_category", "player_image",
+                          "team_logo", map_text(F.col("profile")).alias("profile"))

@@ -362,3 +362,38 @@ def player_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.create_map(F.lit("full_name"), F.col("s_name"),
                                F.lit("position"), F.lit("SUP")).alias("profile"))
     return cp.unionByName(sp)
+
+
+def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One captured profile page per customer: (page_id, player_url, html) — masthead with
+    image (alt = name), club logo link, '#<jersey> <position>' info, and detail items
+    (height, date of birth with an inner tag, position, a blank nickname, a repeated
+    height that replaces the first)."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+                   "c_acctbal")
+    geo = geography(spark, sf_dir)
+    d = c.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    slug = team_slug(F.col("n_name"))
+
+    def item(label, value):
+        return F.concat(F.lit('<div class="mls-l-module--player-status-details__info"><h3>'), label,
+                        F.lit("</h3><span>"), value, F.lit("</span></div>"))
+    html = F.concat(
+        F.lit('<html><body><div class="mls-o-masthead"><div class="mls-o-masthead__branded-image">'
+              '<img src="/big/c'), ks, F.lit('.jpg" alt=" '), F.col("c_name"), F.lit(' "></div>'),
+        F.lit('<a class="mls-o-masthead__club-logo" href="/clubs/'), slug, F.lit('/"><img src="/logo/'),
+        slug, F.lit('.svg"></a><div class="mls-o-masthead__info-wrapper"><span>#'),
+        (k % 99).cast("string"), F.lit("</span> <span>"), F.substring("c_mktsegment", 1, 1),
+        F.lit("</span></div></div><div class=\"mls-l-module--player-status-details\">"),
+        item(F.lit("Height (cm):"), (F.lit(170) + k % 30).cast("string")),
+        item(F.lit("Date of  Birth"), F.concat(F.lit("19"), (F.lit(70) + k % 30).cast("string"),
+                                               F.lit(" <b>(age ?)</b>"))),
+        item(F.lit("Position"), F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(" "))),
+        item(F.lit("Nickname"), F.lit(" ")),
+        F.when(k % 4 == 0, item(F.lit("Height (cm)"), F.lit("199"))).otherwise(F.lit("")),
+        F.lit("</div></body></html>"))
+    return d.select(k.alias("page_id"),
+                    F.concat(F.lit(FIXTURE_BASE_URL + "/players/c"), ks, F.lit("/")).alias("player_url"),
+                    html.alias("html"))

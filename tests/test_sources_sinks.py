@@ -67,3 +67,21 @@ def test_players_and_teams_writers(spark, tmpdir_fresh):
     teams = spark.createDataFrame([("A", "a", "/s")], "name string, slug string, stats_url string")
     tp = Wr.write_teams(teams, os.path.join(tmpdir_fresh, "t"))
     assert spark.read.option("header", True).csv(tp).columns == ["name", "slug", "roster_url", "stats_url"]
+
+
+def test_stats_writer_by_team(spark, tmpdir_fresh):
+    from paysheaf.operators import stats as S
+    recs = spark.createDataFrame(
+        [("A", "a", 2024, "general", "P", "/p", "X", {"general_goals": "1"}, {"height": "1.8"}),
+         ("B", "b", 2024, "passing", "Q", "/q", "", {"passing_acc": "9"}, {})],
+        "team_name string, team_slug string, season int, stat_type string, player_name string, "
+        "player_url string, club string, stats map<string,string>, profile map<string,string>")
+    path = Wr.write_stats(recs, os.path.join(tmpdir_fresh, "s"), by_team=True)
+    back = spark.read.option("header", True).csv(path)
+    assert sorted(back.columns) == sorted(["team_name", "season", "stat_type", "player_name", "player_url",
+                                           "club", "stat_general_goals", "stat_passing_acc",
+                                           "profile_height", "team_slug"])
+    assert sorted(r.team_slug for r in back.select("team_slug").collect()) == ["a", "b"]
+    flat = S.flatten_stats(recs)
+    assert flat.columns[:7] == ["team_name", "team_slug", "season", "stat_type", "player_name",
+                                "player_url", "club"]
