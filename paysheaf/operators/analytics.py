@@ -46,10 +46,33 @@ def money_mean(c: str) -> Column:
 
 
 def quantile(c: str, p: float) -> Column:
-    """Exact quantile with linear interpolation; NULLs skipped."""
+    """Exact quantile with linear interpolation as a single aggregate (NULLs skipped).
+    Its final task holds every distinct value of the group; the reports below use
+    ``with_quantiles`` instead, which spreads that work (``operators/quantiles.py``)."""
     return F.percentile(dbl(c), F.lit(p))
 
 
+def with_quantiles(agg: DataFrame, df: DataFrame, specs: dict[str, tuple[str, float]],
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Add exact quantile columns to a per-group aggregate: ``specs`` maps an output name
+    to (column, p). All columns and percentiles are computed in one distributed pipeline
+    over the stacked (key, column, value) rows, then joined on the group keys (a constant
+    key for a global aggregate: both sides have one row)."""
+    from .quantiles import exact_quantiles
+    cols = sorted({c for c, _ in specs.values()})
+    ps = sorted({p for _, p in specs.values()})
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), dbl(c).alias("_v")) for c in cols])).alias("_s")) \
+        .select(*keys, "_s._col", "_s._v")
+    q = exact_quantiles(stacked, "_v", ps, [*keys, "_col"])
+    wide = q.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("_col") == c) & (F.col("p") == F.lit(float(p))), F.col("value"))).alias(name)
+        for name, (c, p) in specs.items()])
+    if keys:
+        return agg.join(wide, list(keys), "left")
+    return agg.withColumn("_one", F.lit(1)).join(wide.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+
+
 def r2(c: Column) -> Column:
     return F.bround(c, 2)
 
@@ -80,17 +103,21 @@ def _keyed(df: DataFrame, *keys: str) -> DataFrame:
 def salary_trends(df: DataFrame) -> DataFrame:
     """Per year: mean, median, min, max, sum of both money columns and the number of
     named players; all rounded to 2 places; ordered by year."""
+    d = _keyed(df, "year")
     aggs = []
     for c in MONEY_COLS:
         aggs += [
             r2(money_mean(c)).alias(f"{c}_mean"),
-            r2q(quantile(c, 0.5)).alias(f"{c}_median"),
             r2(F.min(c).cast("double")).alias(f"{c}_min"),
             r2(F.max(c).cast("double")).alias(f"{c}_max"),
             r2(money_sum(c)).alias(f"{c}_sum"),
         ]
     aggs.append(F.count("last_name").alias("last_name_count"))
-    return _keyed(df, "year").groupBy("year").agg(*aggs).orderBy("year")
+    out = with_quantiles(d.groupBy("year").agg(*aggs), d,
+                         {f"{c}_median": (c, 0.5) for c in MONEY_COLS}, ["year"])
+    order = ["year"] + [f"{c}_{s}" for c in MONEY_COLS for s in ("mean", "median", "min", "max", "sum")]
+    return out.select(*[r2q(F.col(c)).alias(c) if c.endswith("_median") else F.col(c) for c in order],
+                      "last_name_count").orderBy("year")
 
 
 def salary_growth(df: DataFrame) -> DataFrame:
@@ -159,13 +186,15 @@ def position_comparison(df: DataFrame, year: int | None = None) -> DataFrame:
     """Guaranteed pay per non-empty position: mean, median, min, max, count."""
     c = "guaranteed_comp"
     d = by_year(df, year).filter(F.col("position").isNotNull() & (F.col("position") != ""))
-    return (d.groupBy("position").agg(
+    agg = d.groupBy("position").agg(
         money_mean(c).alias(f"{c}_mean"),
-        r2q(quantile(c, 0.5)).alias(f"{c}_median"),
         F.min(c).cast("double").alias(f"{c}_min"),
         F.max(c).cast("double").alias(f"{c}_max"),
-        F.count(c).alias(f"{c}_count"),
-    ).orderBy(F.desc_nulls_last(f"{c}_mean"), "position"))
+        F.count(c).alias(f"{c}_count"))
+    out = with_quantiles(agg, d, {f"{c}_median": (c, 0.5)}, ["position"])
+    return out.select("position", f"{c}_mean", r2q(F.col(f"{c}_median")).alias(f"{c}_median"),
+                      f"{c}_min", f"{c}_max", f"{c}_count") \
+        .orderBy(F.desc_nulls_last(f"{c}_mean"), "position")
 
 
 # --- top-k ------------------------------------------------------------------------------
@@ -211,29 +240,27 @@ def salary_distribution(df: DataFrame, year: int | None = None) -> DataFrame:
     """One row: count (all rows), mean, median, std (sample), min, max, q25, q75, q90, q99
     of guaranteed pay. Quantiles and std are rounded to 2 places."""
     c = "guaranteed_comp"
-    qs = F.percentile(dbl(c), F.array(*[F.lit(p) for p in DISTRIBUTION_PS]))
-    agg = by_year(df, year).agg(
+    d = by_year(df, year)
+    agg = d.agg(
         F.count(F.lit(1)).alias("count"),
         money_mean(c).alias("mean"),
-        r2q(quantile(c, 0.5)).alias("median"),
         r2(F.stddev_samp(dbl(c))).alias("std"),
         F.min(c).cast("double").alias("min"),
         F.max(c).cast("double").alias("max"),
-        qs.alias("_qs"),
     )
-    names = ["q25", "q75", "q90", "q99"]
-    return agg.select("count", "mean", "median", "std", "min", "max",
-                      *[r2q(F.col("_qs")[i]).alias(nm) for i, nm in enumerate(names)])
+    names = ["median", "q25", "q75", "q90", "q99"]
+    specs = dict(zip(names, [(c, p) for p in (0.5, *DISTRIBUTION_PS)]))
+    out = with_quantiles(agg, d, specs)
+    return out.select("count", "mean", *[r2q(F.col(n)).alias(n) if n == "median" else F.col(n)
+                                         for n in ("median",)], "std", "min", "max",
+                      *[r2q(F.col(nm)).alias(nm) for nm in names[1:]])
 
 
 def salary_percentiles(df: DataFrame, year: int | None = None) -> DataFrame:
     """Rows (p, value): guaranteed pay at the fixed percentiles, rounded to 2 places."""
-    ps = F.array(*[F.lit(p) for p in PERCENTILE_PS])
-    agg = by_year(df, year).agg(F.percentile(dbl("guaranteed_comp"), ps).alias("_v"))
-    return (agg.select(F.arrays_zip(ps.alias("p"), F.col("_v").alias("value")).alias("_z"))
-            .select(F.inline("_z"))
-            .select(F.col("p").cast("double").alias("p"), r2q(F.col("value")).alias("value"))
-            .orderBy("p"))
+    from .quantiles import exact_quantiles
+    q = exact_quantiles(by_year(df, year), "guaranteed_comp", PERCENTILE_PS)
+    return q.select(F.col("p").cast("double").alias("p"), r2q(F.col("value")).alias("value")).orderBy("p")
 
 
 def percentiles_approx(df: DataFrame, year: int | None = None,

@@ -61,8 +61,9 @@ def snap(c: Column) -> Column:
 
 def iqr_fences(df: DataFrame, column: str = SALARY) -> tuple[Column, Column]:
     """(lower, upper) fences as scalar subqueries: q1 - 1.5*iqr and q3 + 1.5*iqr."""
-    q = df.agg(F.percentile(dbl(column), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    q1, q3 = F.col("q")[0], F.col("q")[1]
+    from .quantiles import quantile_columns
+    q = quantile_columns(df, column, {"q1": 0.25, "q3": 0.75})
+    q1, q3 = F.col("q1"), F.col("q3")
     lower = q.select(snap(q1 - F.lit(IQR_FACTOR) * (q3 - q1))).scalar()
     upper = q.select(snap(q3 + F.lit(IQR_FACTOR) * (q3 - q1))).scalar()
     return lower, upper

@@ -88,5 +88,7 @@ def spread(df: DataFrame) -> DataFrame:
     run on one core; those are repartitioned round-robin. Inputs that already have enough
     splits — the normal case on a cluster — are returned untouched, so no shuffle is added.
     """
+    if df.isStreaming:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -1,0 +1,15 @@
+"""Streaming use of the operators.
+
+The source has no streaming part (no watermarks, windows or state), so nothing here is a
+separate streaming operator. What carries over to Structured Streaming as-is:
+
+* every cleaner in ``functions`` (pure column expressions);
+* ``sources.documents.line_tokens`` / ``csv_cells`` / ``fragmentation`` and the link and
+  profile extractors in ``sources.links`` / ``sources.profiles`` (row-local);
+* ``operators.salary_etl.salary_records`` with a *static* header table passed as
+  ``headers=`` — after the header table the transform is map-only, so a stream of raw rows
+  joined to the static headers is a stream-static join.
+
+Operators that aggregate (analytics, quality, first/last wins) need a watermark and an
+output mode to run on a stream and are batch-only here.
+"""

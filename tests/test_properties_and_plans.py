@@ -95,3 +95,16 @@ def test_header_table_is_broadcast(spark):
     import __spark_entry__ as E
     p = plan(E.queries()["salary_etl"](spark, SF0001))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from paysheaf.operators.quantiles import exact_quantiles
+    recs = pay_records(spark, SF0001)
+    ps = [0.0, 0.1, 0.5, 0.99, 1.0]
+    got = {(r.year, r.p): r.value for r in exact_quantiles(recs, "guaranteed_comp", ps, ["year"]).collect()}
+    ref = recs.groupBy("year").agg(F.percentile(F.col("guaranteed_comp").cast("double"),
+                                                F.array(*[F.lit(p) for p in ps])).alias("q")).collect()
+    for r in ref:
+        for p, v in zip(ps, r.q):
+            assert abs(got[(r.year, p)] - v) <= 1e-6 * max(1.0, abs(v))
+    assert exact_quantiles(recs.limit(0), "guaranteed_comp", [0.5]).count() == 0
