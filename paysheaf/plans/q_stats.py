@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import stats as S
+from ..session import cut_lineage
 from ..schemas import STAT_TYPES, STATS_BASE_FIELDS
 from ..sources.fixtures import FIXTURE_BASE_URL, player_profiles, stats_pages
 from ..sources.html_tables import table_rows
@@ -103,15 +104,17 @@ def _flat_sql() -> str:
 
 @query("flatten_map", W + _flat_sql())
 def flatten_map(spark, sf):
-    """Stats records flattened to 7 base + sorted stat_* + sorted profile_* columns."""
-    return S.flatten_stats(_records(spark, sf))
+    """Stats records flattened to 7 base + sorted stat_* + sorted profile_* columns.
+    The records are checkpointed first: key discovery and the final select then read them
+    instead of running the page pipeline twice."""
+    return S.flatten_stats(cut_lineage(_records(spark, sf)))
 
 
 @query("union_widen", W + _flat_sql())
 def union_widen(spark, sf):
     """Per-stat-type flattened frames (each with its own columns) unioned by name,
     missing columns filled with NULL."""
-    recs = _records(spark, sf)
+    recs = cut_lineage(_records(spark, sf))
     # Each part's own key set, all found in one job: distinct (stat_type, map, key).
     found = recs.select("stat_type", F.explode(F.concat(
         F.transform(F.map_keys("stats"), lambda k: F.struct(F.lit("stats").alias("c"), k.alias("k"))),
