@@ -263,6 +263,19 @@ def _attr(attrs: Column, name: str) -> Column:
     return F.when(found, F.concat(F.regexp_extract(attrs, pat, 1), F.regexp_extract(attrs, pat, 2)))
 
 
+def _class_of(tag: str) -> str:
+    """Pattern whose group 1 is the class attribute of every ``tag`` element ('' when the
+    element has none), one match per element, in order."""
+    return (r"(?is)<" + tag + r"""\b(?:[^>]*?\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'))?[^>]*>""")
+
+
+def _classes(html: Column, tag: str) -> Column:
+    """Class attribute of every ``tag`` element ('' when absent), double or single quoted."""
+    pat = F.lit(_class_of(tag))
+    return F.zip_with(F.regexp_extract_all(html, pat, 1), F.regexp_extract_all(html, pat, 2),
+                      lambda a, b: F.concat(a, b))
+
+
 def _decode(c: Column) -> Column:
     for ent, ch in _ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
@@ -298,8 +311,7 @@ def _table_rows_jvm(pages: DataFrame, key: str, html: str, keep: tuple[str, ...]
         F.size(F.regexp_extract_all(before_tbody, F.lit(_TR), 1)).alias("_n_before"),
         F.size(F.regexp_extract_all(tbody, F.lit(_TR), 1)).alias("_n_body"),
         F.transform(F.regexp_extract_all(F.col("t"), F.lit(_TH), 2), get_text).alias("headers"),
-        F.transform(F.regexp_extract_all(F.col("t"), F.lit(_TH), 1),
-                    lambda a: F.coalesce(_attr(a, "class"), F.lit(""))).alias("header_classes"),
+        _classes(F.col("t"), "th").alias("header_classes"),
         F.posexplode(F.regexp_extract_all(F.col("t"), F.lit(_TR), 1)).alias("row_no", "r"))
     anchors = F.arrays_zip(F.regexp_extract_all(F.col("r"), F.lit(_A), 1).alias("a"),
                            F.regexp_extract_all(F.col("r"), F.lit(_A), 2).alias("inner"))
@@ -309,8 +321,7 @@ def _table_rows_jvm(pages: DataFrame, key: str, html: str, keep: tuple[str, ...]
         F.lit(False)))
     t = t.withColumns({
         "cells": F.transform(F.regexp_extract_all(F.col("r"), F.lit(_TD), 2), get_text),
-        "cell_classes": F.transform(F.regexp_extract_all(F.col("r"), F.lit(_TD), 1),
-                                    lambda a: F.coalesce(_attr(a, "class"), F.lit(""))),
+        "cell_classes": _classes(F.col("r"), "td"),
         "_link": F.get(player, 0),
     })
     link_inner = F.col("_link.inner")

@@ -39,3 +39,11 @@ def test_jvm_engine_entities_and_names(spark):
     assert r.header_classes == ["a b"] and r.cells == ["Jo & Al", "x"]
     assert r.name_text == "Jo & Al" and r.thumb == "/i.png" and r.in_tbody and r.row_no == 1
     assert r.link_class == "mls-o-table__href"
+
+
+def test_jvm_single_quoted_classes(spark):
+    html = "<table><tr><th class='p q'>Player</th><th>X</th></tr><tr><td class='c'>1</td><td>2</td></tr></table>"
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    for engine in ("jvm", "python"):
+        r = table_rows(pages, engine=engine).collect()[0]
+        assert r.header_classes == ["p q", ""] and r.cell_classes == ["c", ""], engine
