@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.clubs import ClubLookup
 from ..operators import headers as H
 from ..operators import salary_etl as E
-from ..sources.fixtures import club_dim, raw_pay, raw_pay_lines
+from ..sources.fixtures import club_dim, raw_pay
 from .catalog import query
 from .oracle_fixtures import PAY, with_
 

@@ -8,17 +8,15 @@ text (``plans/oracle_fixtures.py``) are computed with the same arithmetic.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY
-from ..session import cut_lineage, sized_broadcast
+from ..session import cut_lineage
 from .tables import read_table
 
-# Upper bound for dimension tables that are broadcast (nations × regions).
-DIM_MAX_ROWS = 100_000
-
-
 def _money(c: Column) -> Column:
     return c.cast(MONEY)
 
@@ -170,14 +168,24 @@ def raw_pay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body.unionByName(title).unionByName(header)
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def raw_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_pay_lines`` parsed into raw rows: CSV lines into stripped cells, PDF lines
     into whitespace tokens.
 
-    The result is checkpointed into ``spark.checkpoint.dir`` — it stands for document
-    rows that live in storage. Without the cut, the optimizer's constraint inference
-    over the derived lineage (four unioned joins feeding a long expression chain) grows
-    beyond driver memory."""
+    The result is checkpointed into ``spark.checkpoint.dir`` once per application and
+    input folder — it stands for document rows that live in storage. Without the cut,
+    the optimizer's constraint inference over the derived lineage (unioned joins feeding a
+    long expression chain) grows beyond driver memory."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "raw_pay")
+    if key not in _STORED:
+        _STORED[key] = _raw_pay(spark, sf_dir)
+    return _STORED[key]
+
+
+def _raw_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .documents import csv_cells, line_tokens
     lines = raw_pay_lines(spark, sf_dir)
     tokens = F.when(F.col("source_format") == "csv", csv_cells(F.col("line"))) \
