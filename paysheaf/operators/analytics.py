@@ -56,8 +56,8 @@ def with_quantiles(agg: DataFrame, df: DataFrame, specs: dict[str, tuple[str, fl
                    keys: Sequence[str] = ()) -> DataFrame:
     """Add exact quantile columns to a per-group aggregate: ``specs`` maps an output name
     to (column, p). All columns and percentiles are computed in one distributed pipeline
-    over the stacked (key, column, value) rows, then joined on the group keys (a constant
-    key for a global aggregate: both sides have one row)."""
+    over the stacked (key, column, value) rows, then joined on the group keys (a scalar
+    subquery for a global aggregate)."""
     from .quantiles import exact_quantiles
     cols = sorted({c for c, _ in specs.values()})
     ps = sorted({p for _, p in specs.values()})
@@ -70,7 +70,9 @@ def with_quantiles(agg: DataFrame, df: DataFrame, specs: dict[str, tuple[str, fl
         for name, (c, p) in specs.items()])
     if keys:
         return agg.join(wide, list(keys), "left")
-    return agg.withColumn("_one", F.lit(1)).join(wide.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    # Global aggregate: one struct-valued scalar subquery (planned once, reused per field).
+    sq = wide.select(F.struct(*[F.col(n) for n in specs]).alias("q")).scalar()
+    return agg.select("*", *[sq[n].alias(n) for n in specs])
 
 
 def r2(c: Column) -> Column:

@@ -64,9 +64,10 @@ def iqr_fences(df: DataFrame, column: str = SALARY) -> tuple[Column, Column]:
     from .quantiles import quantile_columns
     q = quantile_columns(df, column, {"q1": 0.25, "q3": 0.75})
     q1, q3 = F.col("q1"), F.col("q3")
-    lower = q.select(snap(q1 - F.lit(IQR_FACTOR) * (q3 - q1))).scalar()
-    upper = q.select(snap(q3 + F.lit(IQR_FACTOR) * (q3 - q1))).scalar()
-    return lower, upper
+    # One struct-valued scalar subquery for both fences (planned once, reused).
+    fences = q.select(F.struct(snap(q1 - F.lit(IQR_FACTOR) * (q3 - q1)).alias("lo"),
+                               snap(q3 + F.lit(IQR_FACTOR) * (q3 - q1)).alias("hi"))).scalar()
+    return fences["lo"], fences["hi"]
 
 
 def _outside(column: str, lower: Column, upper: Column) -> Column:

@@ -151,7 +151,8 @@ def salary_records(raw_rows: DataFrame, lookup: ClubLookup, compat: bool = False
                    headers: DataFrame | None = None) -> DataFrame:
     """raw_rows(source_id, year, source_format, row_no, tokens) -> salary records
     (year, club, last_name, first_name, position, base_salary, guaranteed_comp,
-    source_id, row_no). Sources without a header row yield nothing."""
+    source_id, row_no, route) — route: 'index', 'club_first' or 'names_first'. Sources
+    without a header row yield nothing."""
     # Materialised once: the size check and the broadcast then read the small result
     # instead of scanning the raw rows again.
     h = cut_lineage(header_table(raw_rows)) if headers is None else headers
@@ -166,5 +167,9 @@ def salary_records(raw_rows: DataFrame, lookup: ClubLookup, compat: bool = False
     # explode(when(ok, [rec])) instead of filter(ok): a filter on derived columns is pushed
     # down through every projection step by alias substitution, re-inlining the whole chain;
     # a generator keeps the steps apart.
-    out = rows.select("year", "source_id", "row_no", F.explode(F.when(ok, F.array(rec))).alias("rec"))
-    return out.select("year", *[F.col(f"rec.{f}").alias(f) for f in OUT_FIELDS], "source_id", "row_no")
+    route = F.when(r, F.lit("index")).when(F.col("club_first"), F.lit("club_first")) \
+        .otherwise(F.lit("names_first"))
+    out = rows.select("year", "source_id", "row_no", route.alias("route"),
+                      F.explode(F.when(ok, F.array(rec))).alias("rec"))
+    return out.select("year", *[F.col(f"rec.{f}").alias(f) for f in OUT_FIELDS], "source_id", "row_no",
+                      "route")

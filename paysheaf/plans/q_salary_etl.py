@@ -45,19 +45,19 @@ def salary_etl(spark, sf):
 @query("parse_indexed", W + _EXPECTED + " WHERE year % 2 = 1")
 def parse_indexed(spark, sf):
     """Records of the CSV sources (index route)."""
-    return _out(_records(spark, sf).filter(F.col("year") % 2 == 1))
+    return _out(_records(spark, sf).filter(F.col("route") == "index"))
 
 
 @query("parse_club_first", W + _EXPECTED + " WHERE year % 4 = 2")
 def parse_club_first(spark, sf):
     """Records of the club-first PDF sources (heuristic route)."""
-    return _out(_records(spark, sf).filter(F.col("year") % 4 == 2))
+    return _out(_records(spark, sf).filter(F.col("route") == "club_first"))
 
 
 @query("parse_names_first", W + _EXPECTED + " WHERE year % 4 = 0")
 def parse_names_first(spark, sf):
     """Records of the names-first PDF sources (heuristic route)."""
-    return _out(_records(spark, sf).filter(F.col("year") % 4 == 0))
+    return _out(_records(spark, sf).filter(F.col("route") == "names_first"))
 
 
 _YEARS = "(SELECT DISTINCT year FROM pay) y"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,12 +74,6 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def scratch_dir(prefix: str = "paysheaf-") -> str:
-    """A fresh local folder for tests and local round trips (never used on a cluster)."""
-    base = os.environ.get("PAYSHEAF_SCRATCH")
-    return tempfile.mkdtemp(prefix=prefix, dir=base)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy per-row stages at least ``defaultParallelism`` partitions.
 
