@@ -108,3 +108,17 @@ def test_exact_quantiles_match_percentile(spark):
         for p, v in zip(ps, r.q):
             assert abs(got[(r.year, p)] - v) <= 1e-6 * max(1.0, abs(v))
     assert exact_quantiles(recs.limit(0), "guaranteed_comp", [0.5]).count() == 0
+
+
+def test_percentiles_approx_rank_error(spark):
+    recs = pay_records(spark, SF0001)
+    acc = 100
+    approx = A.percentiles_approx(recs, None, acc).collect()
+    vals = sorted(float(r.g) for r in recs.select(F.col("guaranteed_comp").alias("g")).collect())
+    n = len(vals)
+    for r in approx:
+        # rank of the returned value must be within n/accuracy of the target rank
+        below = sum(1 for v in vals if v < r.value)
+        at_or_below = sum(1 for v in vals if v <= r.value)
+        target = r.p * n
+        assert below - n / acc - 1 <= target <= at_or_below + n / acc + 1, (r.p, r.value)
