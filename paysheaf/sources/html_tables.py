@@ -287,7 +287,9 @@ def get_text(inner: Column) -> Column:
     dropped, the rest joined without separator."""
     from ..functions.text import strip
     pieces = F.transform(F.split(inner, r"<[^>]*>"), lambda p: strip(_decode(p)))
-    return F.array_join(F.filter(pieces, lambda p: p != ""), "")
+    full = F.array_join(F.filter(pieces, lambda p: p != ""), "")
+    # Plain text (no tag, no entity) is one piece: a strip is the whole answer.
+    return F.when(F.instr(inner, "<") + F.instr(inner, "&") == 0, strip(inner)).otherwise(full)
 
 
 def _name_text(link_inner: Column) -> Column:
