@@ -123,7 +123,7 @@ def split_names(spark, sf):
 
 @query("longest_prefix_lookup", with_(PAY) + """
 SELECT record_id, club,
-  CASE WHEN record_id % 2 = 0 THEN 1 ELSE len(string_split(region, ' ')) + 1 END AS consumed,
+  CAST(CASE WHEN record_id % 2 = 0 THEN 1 ELSE len(string_split(region, ' ')) + 1 END AS INTEGER) AS consumed,
   1 AS club_start
 FROM pay""")
 def longest_prefix_lookup(spark, sf):
