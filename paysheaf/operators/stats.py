@@ -31,10 +31,12 @@ MAX_FLAT_KEYS = 2000
 
 
 def first_class(classes: Column, skip: tuple[str, ...]) -> Column:
-    """First class of a space-separated class attribute that is not in ``skip``."""
-    parts = F.filter(F.split(F.coalesce(classes, F.lit("")), r"\s+"),
-                     lambda c: (c != "") & ~c.isin(*skip))
-    return F.get(parts, 0)
+    """First class of a space-separated class attribute that is not in ``skip`` (NULL when
+    there is none): one regular expression, the skipped names as a negative lookahead."""
+    import re
+    skipped = "|".join(re.escape(c) for c in skip)
+    pat = r"(?:^|\s)(?!(?:" + skipped + r")(?:\s|$))(\S+)"
+    return F.nullif(F.regexp_extract(F.coalesce(classes, F.lit("")), pat, 1), F.lit(""))
 
 
 def last_wins_map(entries: Column) -> Column:
