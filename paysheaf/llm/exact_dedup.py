@@ -94,7 +94,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = (rows.groupBy("fp", "recipe")
               .agg(F.sum("copies").alias("group_size"), F.count(F.lit(1)).alias("members"), F.max("id").alias("keep_id"))
               .filter("members > 1").drop("members"))
-    out = rows.join(groups, ["fp", "recipe"], "left")
+    # Stored, so that both sides of the join come straight from a shuffle and a group of many copies can be split.
+    out = rows.join(stored(groups, "shared"), ["fp", "recipe"], "left")
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("id")).otherwise(F.col("keep_id"))
     return out.select("id", keep.alias("keep_id"), F.coalesce("group_size", "copies").alias("group_size"),
