@@ -5,20 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import bpe, exact_dedup, mixing, quality, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 low quality, 1 good but toxic, 2 good; selected: grade 1 or more is likely."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))
+    return quality.score(docs, quality.train(docs, labels, grade, grades=3))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op7_bpe, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
