@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, ngram_join, quality, toxicity
+from . import bpe, exact_dedup, line_dedup, mixing, ngram_join, quality, sharding, toxicity
 from .common import table
 
 
@@ -36,12 +36,23 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_lines", "removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"),
+                      F.length("clean_text").cast("long").alias("clean_chars"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op5_ngram_jaccard, op7_bpe, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op5_ngram_jaccard, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
