@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, ngram_join, quality, sharding, toxicity
+from . import bpe, exact_dedup, line_dedup, mixing, mtree, ngram_join, quality, sharding, toxicity
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,7 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op5_ngram_jaccard, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
