@@ -217,3 +217,24 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([part.column(id_col), *columns], names=schema.fieldNames())
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def encoded_documents(docs: DataFrame, path: str, carry: list[str], text_col: str = "text") -> DataFrame:
+    """The columns ``carry`` of every row, with n_tokens, ids and decoded_sha256 of its whole text."""
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+             T.StructField("decoded_sha256", T.StringType())]
+    schema = T.StructType([*(docs.schema[c] for c in carry), *added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        for part in _slices(batches):
+            coded = words.encode(part.column(text_col).to_pylist())
+            rows = [np.frombuffer(ids, dtype="<i4") for ids, _ in coded]
+            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in carry), pa.array([len(r) for r in rows], pa.int64()),
+                 pa.ListArray.from_arrays(ends, np.concatenate([*rows, np.empty(0, "<i4")])),
+                 pa.array([hashlib.sha256(text.encode("utf-8")).hexdigest() for _, text in coded], pa.string())],
+                names=schema.fieldNames())
+
+    return docs.select(*carry, text_col).mapInArrow(run, schema)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, bin_bits, hash_bin, order_hash, running_before, small, stored
+from .common import WORD, bin_bits, fresh, hash_bin, order_hash, running_before, small, stored
 
 #: Bins of virtual time in which the served documents are ordered.
 TIME_BITS_ROWS = 500
@@ -57,15 +57,18 @@ def source_targets(sizes: DataFrame, weights: list[int], max_repeats: int) -> Da
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+        weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, seed: int = 7,
+        row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, served).
 
     documents: row, doc_id, source, size, source_size, target, start (words of its source before it).
     served: row, copy (pass over the source), words (taken of this copy), finish (virtual time) and
-    position (words of the mix before it); the mix is ``served`` in the order of position.
+    position (words of the mix before it); the mix is ``served`` in the order of position. ``row_col``
+    names a column that numbers the rows, if there is one.
     """
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = stored(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), order_hash(F.lit(seed), F.col(id_col).cast("string")).alias("h")), "sizes")
     n = rows.count()
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -99,3 +102,18 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     out = queue.join(taken, "row", "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                       "source", F.coalesce("copies", F.lit(0)).cast("int").alias("copies"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of the mix, with all columns of ``docs``: a document is there once for each pass that takes
+    it; one that the cut divides is there if at least half of its words are before the cut."""
+    row = fresh(docs, "mix_row")
+    docs = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    queue, served = mix(docs, row_col=row, **options)
+    whole = served.join(queue.select("row", "size"), "row").filter(F.col("words") * 2 >= F.col("size"))
+    passes = stored(whole.groupBy("row").agg(F.count(F.lit(1)).cast("int").alias("passes")), "passes")
+    name = fresh(docs, "mix_passes")
+    passes = passes.select(F.col("row").alias(row), F.col("passes").alias(name))
+    times = fresh(docs, "mix_time")
+    out = docs.join(small(passes), row)
+    return out.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(name)))).drop(row, name, times)
