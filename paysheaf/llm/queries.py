@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, mtree, ngram_join, quality, sharding, toxicity
+from . import bpe, exact_dedup, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licences(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
     return found.withColumnRenamed("id", "doc_id")
@@ -56,7 +60,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
