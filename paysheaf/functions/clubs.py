@@ -2,13 +2,13 @@
 
 The dimension is a DataFrame ``club_dim(kind, key, canonical)``: ``kind='code'`` rows map an
 upper-case code to a display name, ``kind='name'`` rows map a lower-case full name. It is
-small by nature (one row per club and code), so it is read once with a size check and
-turned into literal maps that live inside the generated code of the parsing stage — no
-join and no shuffle per token row.
+small by nature (one row per club and code), so it is read once and becomes one literal map
+of the parsing stage — no join and no shuffle per token row.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import CLUB_DIM
 
-# Largest dimension accepted for the literal-map lookup.
-MAX_CLUB_ROWS = 10_000
-
 # --- fixed values: the league's club codes and club names --------------------------------
 # Code -> display name.
 CLUB_CODES = {
@@ -108,12 +105,8 @@ class ClubLookup:
     max_words: int
 
     @staticmethod
-    def from_dim(club_dim: DataFrame, first_words: tuple[str, ...] | None = None,
-                 max_rows: int = MAX_CLUB_ROWS) -> "ClubLookup":
-        rows = club_dim.select("kind", "key", "canonical").limit(max_rows + 1).collect()
-        if len(rows) > max_rows:
-            raise ValueError(f"club dimension has more than {max_rows} rows; "
-                             "it is expected to list clubs and codes only")
+    def from_dim(club_dim: DataFrame, first_words: tuple[str, ...] | None = None) -> "ClubLookup":
+        rows = club_dim.select("kind", "key", "canonical").collect()
         codes = {r["key"].upper(): r["canonical"] for r in rows if r["kind"] == "code"}
         names = {r["key"].lower(): r["canonical"] for r in rows if r["kind"] == "name"}
         if first_words is None:
@@ -122,9 +115,8 @@ class ClubLookup:
         return ClubLookup(codes, names, tuple(first_words), max_words)
 
     def _map(self, d: dict[str, str]) -> Column:
-        if not d:
-            return F.create_map().cast("map<string,string>")
-        return F.create_map(*[F.lit(x) for kv in sorted(d.items()) for x in kv])
+        # One literal, whatever the number of clubs: the plan does not grow with the dimension.
+        return F.from_json(F.lit(json.dumps(d)), "map<string,string>")
 
     def code_map(self) -> Column:
         return self._map(self.codes)
@@ -134,8 +126,7 @@ class ClubLookup:
 
     def starts_club(self, t: Column) -> Column:
         """Token is a club code or the first word of a club name."""
-        words = F.array(*[F.lit(w) for w in self.first_words]) if self.first_words \
-            else F.array().cast("array<string>")
+        words = F.from_json(F.lit(json.dumps(self.first_words)), "array<string>")
         return (F.map_contains_key(self.code_map(), F.upper(t))
                 | F.array_contains(words, F.lower(t)))
 

@@ -28,7 +28,6 @@ DISTRIBUTION_PS = (0.25, 0.75, 0.90, 0.99)
 PERCENTILE_PS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 # Widest pivot accepted (one output column per club).
-MAX_PIVOT_COLUMNS = 1000
 
 
 def dbl(c: Column | str) -> Column:
@@ -277,14 +276,24 @@ def percentiles_approx(df: DataFrame, year: int | None = None,
             .select(F.inline("_z")).orderBy("p"))
 
 
-# --- SQL-style helpers --------------------------------------------------------------------
+def percentile_rank_check(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Rows (p, within_error): the exact rank of each approximate percentile against p, allowed to
+    be off by n / accuracy rows (and by one for rounding)."""
+    d = df.select(dbl("guaranteed_comp").alias("x")).filter(F.col("x").isNotNull())
+    found = percentiles_approx(df, accuracy=accuracy).agg(F.sort_array(F.collect_list(F.struct("p", "value"))))
+    counts = d.withColumn("v", found.scalar()).agg(F.count(F.lit(1)).alias("n"), F.first("v").alias("v"), *[
+        f for k in range(len(PERCENTILE_PS)) for f in (
+            F.count_if(F.col("x") < F.get("v", F.lit(k))["value"]).alias(f"b{k}"),
+            F.count_if(F.col("x") <= F.get("v", F.lit(k))["value"]).alias(f"u{k}"))])
+    rows = F.array(*[F.struct(F.get("v", F.lit(k))["p"].cast("double").alias("p"), F.col(f"b{k}").alias("b"), F.col(f"u{k}").alias("u"))
+                     for k in range(len(PERCENTILE_PS))])
+    r = counts.select("n", F.inline(rows))
+    off = F.col("n") / accuracy + 1
+    want = F.col("p") * F.col("n")
+    return r.select("p", ((F.col("b") <= want + off) & (F.col("u") >= want - off)).alias("within_error")).orderBy("p")
 
-def avg_by_position(df: DataFrame, year: int) -> DataFrame:
-    """Average guaranteed pay per non-empty position in one year, highest first."""
-    d = df.filter((F.col("year") == F.lit(year)) & (F.col("position") != ""))
-    return (d.groupBy("position").agg(money_mean("guaranteed_comp").alias("avg_salary"))
-            .orderBy(F.desc_nulls_last("avg_salary"), "position"))
 
+# --- SQL-style helpers --------------------------------------------------------------------
 
 def count_by(df: DataFrame, key: str) -> DataFrame:
     """Group size per non-NULL key."""
@@ -294,15 +303,11 @@ def count_by(df: DataFrame, key: str) -> DataFrame:
 def spending_pivot(df: DataFrame, clubs: Sequence[str] | None = None) -> DataFrame:
     """Year × club table of total guaranteed pay (NULL where a club has no record).
 
-    Pivot needs its value list up front; without one it is read with a small distinct
-    job and refused above ``MAX_PIVOT_COLUMNS`` (the width would not fit a row)."""
+    ``clubs`` is the value list, for example from the club dimension; without it the clubs
+    that occur are read first, as they become the column names."""
     d = _keyed(df, "year", "club")
     if clubs is None:
-        found = (d.select("club").distinct().orderBy("club")
-                 .limit(MAX_PIVOT_COLUMNS + 1).collect())
-        if len(found) > MAX_PIVOT_COLUMNS:
-            raise ValueError(f"pivot wider than {MAX_PIVOT_COLUMNS} columns")
-        clubs = [r["club"] for r in found]
+        clubs = [r["club"] for r in d.select("club").distinct().orderBy("club").collect()]
     return (d.groupBy("year").pivot("club", list(clubs))
             .agg(F.sum("guaranteed_comp").cast("double")).orderBy("year"))
 

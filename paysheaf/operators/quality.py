@@ -174,7 +174,7 @@ def fold_club(c: Column) -> Column:
     """Spelling-insensitive key: lower case, accents folded, punctuation removed,
     noise words (FC, SC, CF) dropped, whitespace collapsed."""
     s = F.translate(F.lower(c), ACCENTED, UNACCENTED)
-    s = F.regexp_replace(s, r"[^a-z0-9\s]", "")
+    s = F.regexp_replace(s, r"(?U)[^\w\s]", "")
     s = F.regexp_replace(s, r"\b(" + "|".join(CLUB_NOISE_WORDS) + r")\b", " ")
     return F.trim(F.regexp_replace(s, r"\s+", " "))
 
@@ -186,6 +186,7 @@ def dq_club_variants(df: DataFrame) -> DataFrame:
     spelling, never one per record."""
     spell = (df.filter(F.col("club").isNotNull()).select(fold_club(F.col("club")).alias("club_key"),
                                                           "club").distinct())
+    spell = spell.filter(F.col("club_key") != "")  # nothing but punctuation says nothing about the club
     return (spell.groupBy("club_key")
             .agg(F.count(F.lit(1)).alias("n_spellings"),
                  F.array_join(F.sort_array(F.collect_list("club")), " | ").alias("spellings"))
@@ -229,4 +230,16 @@ def dq_report(df: DataFrame, cols: Sequence[str] = tuple(SALARY_FIELDS),
     dups = dq_duplicate_count(df).select(
         F.lit("duplicate_players").alias("check"), F.lit("duplicate_count").alias("metric"),
         F.col("duplicate_count").cast("double").alias("value"))
-    return long.unionByName(dups)
+    # The parts with a row per club or position: spellings of clubs, and the most frequent positions.
+    clubs = df.filter(F.col("club").isNotNull()).select("club").distinct()
+    unique = clubs.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("club_variations").alias("check"), F.lit("unique_clubs").alias("metric"), "value")
+    variants = dq_club_variants(df).select(
+        F.lit("club_variations").alias("check"), F.concat(F.lit("spellings."), "club_key").alias("metric"),
+        F.col("n_spellings").cast("double").alias("value"))
+    positions = (df.filter(F.col("position").isNotNull()).groupBy("position").agg(F.count(F.lit(1)).alias("n"))
+                 .orderBy(F.desc("n"), "position").limit(TOP_ROWS))
+    positions = positions.select(F.lit("invalid_positions").alias("check"),
+                                 F.concat(F.lit("position_distribution."), "position").alias("metric"),
+                                 F.col("n").cast("double").alias("value"))
+    return long.unionByName(dups).unionByName(unique).unionByName(variants).unionByName(positions)

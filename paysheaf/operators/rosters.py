@@ -88,7 +88,10 @@ def roster_normalize(raw: DataFrame, profiles: DataFrame | None = None) -> DataF
     empty = F.create_map().cast("map<string,string>")
     d = raw
     if profiles is not None:
-        d = d.join(profiles.select("player_url", "profile", *PROFILE_FACTS), "player_url", "left")
+        # One row per URL, whatever the profiles repeat: players are never multiplied.
+        facts = profiles.select("player_url", "profile", *PROFILE_FACTS)
+        facts = first_per_key(facts.withColumn("_order", F.xxhash64(F.to_json(F.struct("*")))), ["player_url"], ["_order"])
+        d = d.join(facts.drop("_order"), "player_url", "left")
     else:
         d = d.withColumn("profile", empty)
         for c in PROFILE_FACTS:

@@ -13,6 +13,8 @@ key, so duplicate keys behave like Python dict assignment instead of raising.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,6 @@ HEADER_FRAMEWORK_CLASSES = ("mls-o-table__header", "mls-o-table__header--sorted"
 CELL_FRAMEWORK_CLASSES = ("mls-o-table__cell", "mls-o-table__cell--sorted")
 NON_STAT_KEYS = ("player", "club")
 MIN_CELLS = 3
-# Widest flattened output accepted (keys of one map column).
-MAX_FLAT_KEYS = 2000
 # ---------------------------------------------------------------------------------------------
 
 
@@ -127,25 +127,19 @@ def stats_normalize(raw: DataFrame) -> DataFrame:
     return out.filter(F.col("player_name") != "")
 
 
-def map_keys_of(df: DataFrame, columns: list[str] | str, max_keys: int = MAX_FLAT_KEYS) -> dict[str, list[str]]:
-    """Sorted distinct keys of one or more map columns in one job: a distributed distinct
-    of (column, key), then a bounded collect (refused above ``max_keys`` per column — the
-    result must fit a row schema)."""
+def map_keys_of(df: DataFrame, columns: list[str] | str) -> dict[str, list[str]]:
+    """Sorted distinct keys of one or more map columns, found in one distributed distinct. They
+    become column names, so they are read to the driver; where they are known, give them instead."""
     cols = [columns] if isinstance(columns, str) else list(columns)
 
     def tag(name: str):
         return lambda k: F.struct(F.lit(name).alias("c"), k.alias("k"))
     tagged = F.concat(*[F.transform(F.map_keys(c), tag(c)) for c in cols])
-    found = (df.select(F.explode(tagged).alias("e")).select("e.c", "e.k").distinct()
-             .limit(len(cols) * max_keys + 1).collect())
+    found = df.select(F.explode(tagged).alias("e")).select("e.c", "e.k").distinct().collect()
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in found:
         out[r["c"]].append(r["k"])
-    for c, ks in out.items():
-        if len(ks) > max_keys:
-            raise ValueError(f"{c} has more than {max_keys} distinct keys")
-        ks.sort()
-    return out
+    return {c: sorted(ks) for c, ks in out.items()}
 
 
 def flatten_map(df: DataFrame, column: str, prefix: str, keys: list[str] | None = None) -> DataFrame:
@@ -162,3 +156,15 @@ def flatten_stats(records: DataFrame, keys: dict[str, list[str]] | None = None)
     keys = map_keys_of(d, ["stats", "profile"]) if keys is None else keys
     flat = flatten_map(d, "stats", "stat_", keys["stats"])
     return flatten_map(flat, "profile", "profile_", keys["profile"])
+
+
+def union_by_type(records: DataFrame) -> DataFrame:
+    """Records flattened per stat type, each type with its own columns, unioned by name (missing
+    columns NULL). Every stat type that occurs is a part, whatever its name and keys."""
+    keys_of = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.map_keys(c))))).alias(c)
+    found = records.groupBy("stat_type").agg(keys_of("stats"), keys_of("profile")).orderBy("stat_type").collect()
+    parts = [flatten_stats(records.filter(F.col("stat_type").eqNullSafe(F.lit(r["stat_type"]))),
+                           {"stats": r["stats"], "profile": r["profile"]}) for r in found]
+    if not parts:
+        return flatten_stats(records, {"stats": [], "profile": []})
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

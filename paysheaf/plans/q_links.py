@@ -85,21 +85,24 @@ WHERE r.year NOT IN (SELECT y FROM links) ORDER BY r.year""")
 def years_without_source(spark, sf):
     """Requested years without any usable guide link (left anti join)."""
     req = spark.range(REQUESTED_YEARS[0], REQUESTED_YEARS[1] + 1).select(F.col("id").alias("year"))
-    found = L.guide_sources(_pages(spark, sf)).select("year")
+    found = L.guide_sources(_pages(spark, sf)).select("year").distinct()
     return req.join(found, "year", "left_anti").orderBy("year")
 
 
 @query("select_years", W + "SELECT DISTINCT y AS year FROM links ORDER BY year DESC")
 def select_years(spark, sf):
     """The years with a usable source, newest first."""
-    return L.guide_sources(_pages(spark, sf)).select("year").distinct().orderBy(F.desc("year"))
+    return L.available_years(_pages(spark, sf))
+
+
+@query("requested_year", W + "SELECT max(y) AS year FROM links WHERE y = 2021")
+def requested_year(spark, sf):
+    """one requested year with a usable source (an error where there is none)."""
+    return L.available_years(_pages(spark, sf), 2021)
 
 
 @query("filter_in_semi", W + f"""
 SELECT page_id, pos, year FROM ({_ALL_LINKS}) t WHERE pos IN (0, 1, 2)""")
 def filter_in_semi(spark, sf):
-    """Guide links whose year is one of the seasons offered on the same page
-    (left semi join on page and year)."""
-    links = L.page_links(_pages(spark, sf)).select("page_id", "pos", "year")
-    seasons = L.season_options(_pages(spark, sf)).select("page_id", F.col("season").alias("year"))
-    return links.join(seasons, ["page_id", "year"], "left_semi").select("page_id", "pos", "year")
+    """Guide links whose year is one of the seasons offered on the same page."""
+    return L.links_in_season(_pages(spark, sf))

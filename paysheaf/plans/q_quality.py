@@ -120,7 +120,7 @@ def dq_clubs(spark, sf):
 
 
 _FOLD = (r"trim(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower(club)), "
-         r"'[^a-z0-9\s]', '', 'g'), '\b(fc|sc|cf)\b', ' ', 'g'), '\s+', ' ', 'g'))")
+         r"'[^\p{L}\p{N}\p{M}_\s]', '', 'g'), '\b(fc|sc|cf)\b', ' ', 'g'), '\s+', ' ', 'g'))")
 
 
 @query("dq_club_variants", with_(PAY, CLUB_SPELLINGS) + f"""
@@ -162,6 +162,17 @@ for _c in SALARY_FIELDS:
                                      f"COUNT(*) FILTER (WHERE {_c} = '')"))
 
 
+_REPORT_PARTS += [
+    _metric("club_variations", "unique_clubs", "COUNT(DISTINCT club)"),
+    f"""SELECT 'club_variations', 'spellings.' || club_key, CAST(COUNT(*) AS DOUBLE)
+FROM (SELECT DISTINCT {_FOLD} AS club_key, club FROM pay WHERE club IS NOT NULL) t WHERE club_key <> ''
+GROUP BY club_key HAVING COUNT(*) > 1""",
+    """SELECT 'invalid_positions', 'position_distribution.' || position, CAST(n AS DOUBLE) FROM (
+SELECT position, COUNT(*) AS n FROM pay WHERE position IS NOT NULL GROUP BY position
+ORDER BY n DESC, position LIMIT 20) p""",
+]
+
+
 @query("dq_report", W[:-1] + _FENCES + "\nUNION ALL\n".join(_REPORT_PARTS))
 def dq_report(spark, sf):
     """All checks in one long table (check, metric, value)."""

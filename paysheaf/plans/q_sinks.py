@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 
 from ..schemas import SALARY_FIELDS
 from ..sinks import writers as Wr
-from ..sources.fixtures import pay_records
+from ..session import cut_lineage
+from ..sources.documents import csv_records, read_text_files
+from ..sources.fixtures import link_pages, pay_records
+from ..sources.links import club_links
+from ..sources.tables import read_table
 from .catalog import query
-from .oracle_fixtures import PAY, with_
+from .oracle_fixtures import LINKS, PAY, ROSTER, STATS_SRC, with_
 
 W = with_(PAY)
 YEAR = 1998
@@ -59,6 +63,60 @@ def sink_overwrite_append(spark, sf):
     return spark.createDataFrame(counts, "step string, n bigint")
 
 
+@query("load_preferred", W + "SELECT " + _REC.format(pos="position") + " FROM pay")
+def load_preferred(spark, sf):
+    """Records written in all formats; the loader takes Parquet before CSV."""
+    base = Wr.output_dir(spark, "all")
+    Wr.write_records(pay_records(spark, sf), base, ["all"], split=True)
+    return _money_double(Wr.load_records(spark, base))
+
+
+@query("sink_teams", with_(LINKS) + """
+SELECT upper(substr(slug, 1, 1)) || substr(replace(slug, '-', ' '), 2) AS name, slug,
+  '/clubs/' || slug || '/roster/' AS roster_url, '/clubs/' || slug || '/stats/' AS stats_url
+FROM links GROUP BY slug""")
+def sink_teams(spark, sf):
+    """Teams found on the pages, written as CSV and read back."""
+    path = Wr.write_teams(club_links(link_pages(spark, sf)), Wr.output_dir(spark, "teams"))
+    return spark.read.options(header=True, **Wr.CSV_OPTIONS).csv(path)
+
+
+@query("sink_players", with_(ROSTER)[:-1] + """,
+first_rows AS (SELECT * FROM roster_raw QUALIFY row_number() OVER (PARTITION BY team_slug, player_url
+                                                                  ORDER BY page_id, table_no, row_no) = 1)
+SELECT team_slug, COUNT(*) AS players FROM first_rows GROUP BY team_slug""")
+def sink_players(spark, sf):
+    """Players written as CSV (base and profile columns), read back and counted by team."""
+    from .q_pages import _players
+    path = Wr.write_players(_players(spark, sf), Wr.output_dir(spark, "players"))
+    back = spark.read.options(header=True, multiLine=True, **Wr.CSV_OPTIONS).csv(path)
+    return back.groupBy("team_slug").agg(F.count(F.lit(1)).alias("players"))
+
+
+@query("sink_stats_by_team", with_(STATS_SRC) + "SELECT team_slug, COUNT(*) AS n FROM stats_src GROUP BY team_slug")
+def sink_stats_by_team(spark, sf):
+    """Flattened stats written as one CSV folder per team, read back by partition."""
+    from .q_stats import _records
+    path = Wr.write_stats(cut_lineage(_records(spark, sf)), Wr.output_dir(spark, "stats"), by_team=True)
+    back = spark.read.options(header=True, multiLine=True, **Wr.CSV_OPTIONS).csv(path)
+    return back.groupBy(F.col("team_slug").cast("string").alias("team_slug")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("csv_file_cells", """
+SELECT c_custkey, 4 AS n_cells, '' AS first, c_name || chr(10) || '"' || c_mktsegment || '", é' AS second
+FROM customer""")
+def csv_file_cells(spark, sf):
+    """CSV files with empty first cells, doubled quotes and line ends inside cells, decoded per file
+    and cut into records and cells."""
+    c = read_table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
+    path = Wr.output_dir(spark, "csv_files")
+    record = F.concat(F.lit(',"'), "c_name", F.lit('\n""'), "c_mktsegment", F.lit('"", é",'), F.col("c_custkey").cast("string"), F.lit(","))
+    c.select(record.alias("value")).write.text(path)
+    rows = csv_records(read_text_files(spark, path, "part-*"))
+    return rows.select(F.get("cells", F.lit(2)).cast("bigint").alias("c_custkey"), F.size("cells").alias("n_cells"),
+                       F.get("cells", F.lit(0)).alias("first"), F.get("cells", F.lit(1)).alias("second"))
+
+
 @query("sql_params", W + f"""
 SELECT club, COUNT(*) AS n, CAST(SUM(guaranteed_comp) AS DOUBLE) AS total
 FROM pay WHERE year = {YEAR} AND position = '{POSITION}' GROUP BY club""")

@@ -3,9 +3,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import stats as S
@@ -22,7 +19,7 @@ STAT_KEYS = ("games_played", "k", "value")
 
 def _raw(spark, sf):
     pages = stats_pages(spark, sf)
-    return S.stats_rows(table_rows(pages, keep=S.PAGE_FIELDS), None, FIXTURE_BASE_URL)
+    return S.stats_rows(table_rows(pages, keep=S.PAGE_FIELDS, link="players"), None, FIXTURE_BASE_URL)
 
 
 def map_text(m) -> F.Column:
@@ -114,16 +111,4 @@ def flatten_map(spark, sf):
 def union_widen(spark, sf):
     """Per-stat-type flattened frames (each with its own columns) unioned by name,
     missing columns filled with NULL."""
-    recs = cut_lineage(_records(spark, sf))
-    # Each part's own key set, all found in one job: distinct (stat_type, map, key).
-    found = recs.select("stat_type", F.explode(F.concat(
-        F.transform(F.map_keys("stats"), lambda k: F.struct(F.lit("stats").alias("c"), k.alias("k"))),
-        F.transform(F.map_keys("profile"), lambda k: F.struct(F.lit("profile").alias("c"), k.alias("k")))))
-        .alias("e")).select("stat_type", "e.c", "e.k").distinct() \
-        .limit(len(STAT_TYPES) * 2 * S.MAX_FLAT_KEYS + 1).collect()
-    keys = {st: {"stats": [], "profile": []} for st in STAT_TYPES}
-    for r in found:
-        keys[r["stat_type"]][r["c"]].append(r["k"])
-    parts: list[DataFrame] = [S.flatten_stats(recs.filter(F.col("stat_type") == st), keys[st])
-                              for st in STAT_TYPES]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return S.union_by_type(cut_lineage(_records(spark, sf)))

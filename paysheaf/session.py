@@ -41,9 +41,9 @@ _LOCAL_CKPT: dict[int, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is a static setting, read here and never overwritten. Only
-    when it is missing (tests, ad-hoc local runs) a scratch folder is registered with
-    ``setCheckpointDir`` for this context.
+    ``spark.checkpoint.dir`` is a static setting, read here and never overwritten. Where it
+    is missing, a local session (tests) gets a scratch folder; on a cluster that is an error,
+    as executors would write to their own disks.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -51,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     key = id(sc)
     if key not in _LOCAL_CKPT:
         _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="paysheaf-ckpt-")
@@ -64,22 +66,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+# Bytes (rows as JSON text) up to which a computed side is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
-    The check reads at most ``max_rows + 1`` rows. Above the bound the frame is returned
+
+def sized_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it holds at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    The check reads at most ``max_rows + 1`` rows. Above a bound the frame is returned
     unhinted, so Catalyst/AQE choose a shuffle join instead of risking a driver OOM.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
+    n, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and held <= max_bytes else df
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy per-row stages at least ``defaultParallelism`` partitions.
 
-    Small inputs (one Parquet file, one row group) arrive as a single partition and would
-    run on one core; those are repartitioned round-robin. Inputs that already have enough
-    splits — the normal case on a cluster — are returned untouched, so no shuffle is added.
+    For bare table scans only: counting the partitions of a frame that holds a shuffle would
+    run it. Small inputs (one Parquet file) arrive as a single partition and would run on one
+    core; those are repartitioned round-robin. Scans with enough splits are left as they are.
     """
     if df.isStreaming:
         return df

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PLAYER_FIELDS, SALARY_FIELDS, SALARY_RECORD, TEAM_FIELDS
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 
 # Columns the salary table requires (NOT NULL).
 REQUIRED_COLS = ("year", "club", "last_name", "base_salary", "guaranteed_comp")
@@ -28,9 +28,13 @@ def output_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "out", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+# Quotes inside a cell are doubled, blanks around a cell stay.
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _csv(df: DataFrame, path: str, mode: str, single_file: bool, partition_by: Sequence[str] = ()):
     d = df.coalesce(1) if single_file else df
-    w = d.write.mode(mode).option("header", True)
+    w = d.write.mode(mode).options(header=True, **CSV_OPTIONS)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
@@ -44,7 +48,8 @@ def write_records_csv(df: DataFrame, path: str, mode: str = "overwrite", single_
 
 def write_records_by_year(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> str:
     """One folder per year (``year=<y>``), so readers prune partitions by year."""
-    d = df.select(*SALARY_FIELDS).repartition("year")
+    # Rebalancing gathers a year's rows and still splits a large year over several tasks.
+    d = df.select(*SALARY_FIELDS).hint("rebalance", "year")
     if fmt == "csv":
         _csv(d, path, mode, False, ["year"])
     else:
@@ -61,21 +66,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     return path
 
 
-def check_not_null(df: DataFrame, cols: Iterable[str] = REQUIRED_COLS) -> None:
-    """Raise when a required column holds NULL (one short-circuiting scan)."""
-    cond = None
-    for c in cols:
-        x = F.col(c).isNull()
-        cond = x if cond is None else cond | x
-    if df.filter(cond).limit(1).count():
-        raise ValueError(f"NULL in a required column of {list(cols)}")
+def not_null(df: DataFrame, cols: Iterable[str] = REQUIRED_COLS) -> DataFrame:
+    """``df`` that fails when a row with NULL in a required column is read: the check is part of
+    the written projection, so the input runs once."""
+    def checked(c: str):
+        stop = F.raise_error(F.lit(f"NULL in the required column {c}")).cast(df.schema[c].dataType)
+        return F.coalesce(F.col(c), stop).alias(c)
+    return df.select(*[checked(c) if c in set(cols) else F.col(c) for c in df.columns])
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Salary table at a path: 'overwrite' clears it first, 'append' adds rows;
     required columns are checked for NULL and a ``created_at`` timestamp is added."""
-    check_not_null(df)
-    out = df.select(*SALARY_FIELDS).withColumn("created_at", F.current_timestamp())
+    out = not_null(df.select(*SALARY_FIELDS)).withColumn("created_at", F.current_timestamp())
     out.write.mode(mode).parquet(path)
     return path
 
@@ -83,9 +86,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def write_players(df: DataFrame, path: str, mode: str = "overwrite") -> str | None:
     """Players -> CSV: 12 base columns + sorted ``profile_*``; nothing for no rows."""
     from ..operators.stats import flatten_map
+    # Read three times (any rows, keys, rows): the input behind it runs once.
+    df = cut_lineage(df.select(*PLAYER_FIELDS, "profile"))
     if df.limit(1).count() == 0:
         return None
-    flat = flatten_map(df.select(*PLAYER_FIELDS, "profile"), "profile", "profile_")
+    flat = flatten_map(df, "profile", "profile_")
     _csv(flat, path, mode, False)
     return path
 
@@ -134,7 +139,8 @@ def read_records_csv(spark: SparkSession, path: str, empty_as_null: bool = True)
     """Salary records from CSV with header, explicit schema (no inference).
     ``empty_as_null``: empty strings become NULL, as a CSV reader that cannot tell them
     apart reports them."""
-    df = spark.read.schema(SALARY_RECORD).option("header", True).csv(path).select(*SALARY_FIELDS)
+    reader = spark.read.schema(SALARY_RECORD).options(header=True, multiLine=True, **CSV_OPTIONS)
+    df = reader.csv(path).select(*SALARY_FIELDS)
     if empty_as_null:
         df = df.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name)
                          if f.dataType.simpleString() == "string" else F.col(f.name)

@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS_RUN, strip
 
-# One CSV field after the line start or a comma: a quoted field (only when the quote is
-# the field's first character; text after the closing quote belongs to the field) or an
-# unquoted run without commas.
-_CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"[^,]*|[^,]*)'
+# One CSV field: quoted (only when the quote is its first character; text after the closing
+# quote belongs to it; without a closing quote it runs to the end) or an unquoted run.
+# Possessive runs keep the match free of recursion, whatever a cell's length.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+_CSV_FIELD = ",(" + _QUOTED + r'(?:"[^,]*+|\z)|[^,]*+)'
+# A record of a whole file: fields up to a line end that is in no quoted field.
+_FIELD_IN_FILE = "(?:" + _QUOTED + r'(?:"[^,\r\n]*+|\z)|[^,\r\n]*+)'
+_CSV_RECORD = "(" + _FIELD_IN_FILE + "(?:," + _FIELD_IN_FILE + r")*+)(?:\r\n|\r|\n|\z)"
 
 # Fragmentation test (fixed values): tokens looked at, short-token length, share, minimum.
 FRAG_WINDOW = 50
@@ -56,16 +60,26 @@ def line_tokens(line: Column) -> Column:
 def _cell(c: Column) -> Column:
     """Unquote a field that starts with a quote ("" inside stands for one quote, text after
     the closing quote is kept), then strip it."""
-    inner = F.replace(F.regexp_extract(c, r'^"((?:[^"]|"")*)"', 1), F.lit('""'), F.lit('"'))
-    tail = F.regexp_extract(c, r'^"(?:[^"]|"")*"(.*)$', 1)
-    quoted = c.rlike(r'^"(?:[^"]|"")*"')
-    return strip(F.when(quoted, F.concat(inner, tail)).otherwise(c))
+    inner = F.replace(F.regexp_extract(c, "^\"([^\"]*+(?:\"\"[^\"]*+)*+)", 1), F.lit('""'), F.lit('"'))
+    tail = F.regexp_extract(c, "(?s)^" + _QUOTED + '"(.*)$', 1)
+    return strip(F.when(F.startswith(c, F.lit('"')), F.concat(inner, tail)).otherwise(c))
 
 
 def csv_cells(line: Column) -> Column:
-    """Cells of one CSV line, unquoted and stripped. An empty line gives no cell."""
+    """Cells of one CSV record, unquoted and stripped. An empty line gives no cell."""
     return F.when(line == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.regexp_extract_all(line, F.lit(_CSV_FIELD), 1), _cell))
+        F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CSV_FIELD), 1), _cell))
+
+
+def csv_records(files: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("path",)) -> DataFrame:
+    """One row per CSV record of each file: ``keep`` columns, ``row_no`` (0-based), ``cells``. A quoted
+    cell may hold line ends; empty lines give a row without cells."""
+    text = F.col(text_col)
+    records = F.regexp_extract_all(text, F.lit(_CSV_RECORD), 1)
+    # The match at the very end is empty: behind a last line end it is no record.
+    closed = F.slice(records, 1, F.greatest(F.size(records) - 1, F.lit(0)))
+    rows = files.select(*keep, F.posexplode_outer(closed).alias("row_no", "record")).filter(F.col("record").isNotNull())
+    return rows.select(*keep, "row_no", csv_cells(F.col("record")).alias("cells"))
 
 
 def fragmentation(tokens: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from .tables import read_table
 
 def _money(c: Column) -> Column:
@@ -245,7 +245,7 @@ def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     year only in the address (.CSV / .Pdf, a later link of the same year), a page of an
     unknown format, and a file without year — plus a season drop-down (year, 'all',
     year - 1) and its mobile copy."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    o = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"))
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     geo = geography(spark, sf_dir)
     d = o.join(c, o.o_custkey == c.c_custkey).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -325,7 +325,7 @@ def stats_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     five tables. The stats table keys its columns by CSS class; a totals row with fewer
     than three cells is mixed in."""
     from ..schemas import STAT_TYPES
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    e = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props"))
     uid = F.col("user_id").cast("string")
     kval = F.get_json_object("props", "$.k")
     stat_type = F.element_at(F.array(*[F.lit(s) for s in STAT_TYPES]),

@@ -5,262 +5,44 @@ cell texts and classes, the first player link with its name element and image.
 Everything after that (which tables count, header -> field mapping, key prefixes,
 cleaning) is column expressions in ``operators/rosters.py`` and ``operators/stats.py``.
 
-Two engines produce the same columns:
-
-* ``"jvm"`` (default): regular expressions and array functions in the JVM — tables,
-  rows and cells are pulled out with ``regexp_extract_all`` and exploded with their
-  positions. Needs well-formed tables (closed ``</table>``, ``</tr>``, ``<td>``/``</td>``,
-  no nested tables) and decodes the common named entities only.
-* ``"python"``: a forgiving tokenizer per page inside ``mapInPandas`` (Arrow batches):
-  a C-backed ``re`` scan of tags and text feeding a small state machine (implicitly
-  closed cells, unclosed rows, entities via ``html.unescape``).
+Everything runs in the JVM: comments and scripts are dropped first, then tables, rows and
+cells are pulled out with ``regexp_extract_all`` and exploded with their positions. Cells and
+rows need no closing tags, attributes may be quoted in any way, entities are decoded, classes
+are compared as tokens. A table inside a cell is read as part of the outer table's markup.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-import re
-from html import unescape
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-ROW_SCHEMA = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("table_no", T.IntegerType()),
-    T.StructField("table_class", T.StringType()),
-    T.StructField("has_tbody", T.BooleanType()),
-    T.StructField("row_no", T.IntegerType()),
-    T.StructField("in_tbody", T.BooleanType()),
-    T.StructField("headers", T.ArrayType(T.StringType())),
-    T.StructField("header_classes", T.ArrayType(T.StringType())),
-    T.StructField("cells", T.ArrayType(T.StringType())),
-    T.StructField("cell_classes", T.ArrayType(T.StringType())),
-    T.StructField("link_href", T.StringType()),
-    T.StructField("link_class", T.StringType()),
-    T.StructField("link_text", T.StringType()),
-    T.StructField("name_text", T.StringType()),
-    T.StructField("thumb", T.StringType()),
-])
+from ..functions.html import attr, decode_entities, has_class, visible
 
 # Classes that mark the player-name element inside a player link (fixed values).
 NAME_CLASSES = ("short-name", "mls-o-table__player-name")
 
 
-class _Table:
-    def __init__(self, cls: str):
-        self.cls = cls
-        self.has_tbody = False
-        self.headers: list[list[str]] = []
-        self.header_classes: list[str] = []
-        self.rows: list[dict] = []
-
-
-class _Tokenizer(HTMLParser):
-    """Collects tables -> rows -> cells; text pieces are kept as a list per element so the
-    'strip every piece, join' reading of ``get_text(strip=True)`` can be reproduced."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables: list[_Table] = []
-        self.stack: list[_Table] = []
-        self.row: dict | None = None
-        self.cell: list[str] | None = None
-        self.cell_is_th = False
-        self.in_tbody = False
-        self.link_depth = 0
-        self.name_depth = 0
-        self.depth = 0
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        self.depth += 1
-        if tag == "table":
-            t = _Table(a.get("class") or "")
-            self.tables.append(t)
-            self.stack.append(t)
-        elif not self.stack:
-            return
-        elif tag == "tbody":
-            self.stack[-1].has_tbody = True
-            self.in_tbody = True
-        elif tag == "tr":
-            self.row = {"cells": [], "classes": [], "in_tbody": self.in_tbody, "link": None,
-                        "link_class": None, "link_text": [], "name": None, "thumb": None}
-            self.stack[-1].rows.append(self.row)
-        elif tag in ("td", "th") and self.row is not None:
-            self.cell = []
-            self.cell_is_th = tag == "th"
-            if tag == "th":
-                self.stack[-1].headers.append(self.cell)
-                self.stack[-1].header_classes.append(a.get("class") or "")
-            else:
-                self.row["cells"].append(self.cell)
-                self.row["classes"].append(a.get("class") or "")
-        elif tag == "a" and self.row is not None and self.row["link"] is None:
-            href = a.get("href")
-            cls = (a.get("class") or "").split()
-            if href is not None and ("/players/" in href or "mls-o-table__href" in cls):
-                self.row["link"] = href
-                self.row["link_class"] = a.get("class")
-                self.link_depth = self.depth
-        elif self.link_depth and self.row is not None:
-            cls = (a.get("class") or "").split()
-            if tag == "img" and self.row["thumb"] is None:
-                self.row["thumb"] = a.get("src")
-            if self.row["name"] is None and any(c in NAME_CLASSES for c in cls):
-                self.row["name"] = []
-                self.name_depth = self.depth
-        if tag in ("img", "br", "meta", "link", "input", "hr"):
-            self.depth -= 1
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in ("img", "br", "meta", "link", "input", "hr"):
-            self.depth -= 1
-
-    def handle_endtag(self, tag):
-        if self.name_depth and self.depth == self.name_depth:
-            self.name_depth = 0
-        if self.link_depth and self.depth == self.link_depth and tag == "a":
-            self.link_depth = 0
-        self.depth -= 1
-        if tag == "table" and self.stack:
-            self.stack.pop()
-            self.row, self.cell, self.in_tbody = None, None, False
-        elif tag == "tbody":
-            self.in_tbody = False
-        elif tag in ("td", "th"):
-            self.cell = None
-        elif tag == "tr":
-            self.row, self.cell = None, None
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
-        if self.row is not None and self.link_depth:
-            self.row["link_text"].append(data)
-            if self.name_depth and isinstance(self.row["name"], list):
-                self.row["name"].append(data)
-
-
-_TOKEN = re.compile(
-    r"<!--.*?-->|<![^>]*>|<(script|style)\b[^>]*>.*?</\1\s*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|([^<]+)|<",
-    re.S | re.I)
-_ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_VOID = frozenset(("img", "br", "meta", "link", "input", "hr", "area", "base", "col", "embed",
-                   "source", "track", "wbr"))
-
-
-def _attrs(raw: str) -> list[tuple[str, str | None]]:
-    out = []
-    for m in _ATTR.finditer(raw):
-        v = m.group(2) if m.group(2) is not None else m.group(3) if m.group(3) is not None else m.group(4)
-        out.append((m.group(1).lower(), unescape(v) if v is not None else None))
-    return out
-
-
-def _scan(tok: "_Tokenizer", page: str) -> None:
-    """Feed the tokenizer's handlers from a regular-expression scan of the page (tags,
-    text, comments and script/style blocks skipped) instead of ``HTMLParser.feed``."""
-    for m in _TOKEN.finditer(page):
-        text = m.group(5)
-        if text is not None:
-            tok.handle_data(unescape(text) if "&" in text else text)
-            continue
-        tag = m.group(3)
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m.group(2):
-            tok.handle_endtag(tag)
-            continue
-        raw = m.group(4)
-        attrs = _attrs(raw) if raw.strip(" /") else []
-        if raw.endswith("/") and tag not in _VOID:
-            tok.handle_startendtag(tag, attrs)
-        else:
-            tok.handle_starttag(tag, attrs)
-
-
-def _text(pieces: list[str] | None) -> str | None:
-    if pieces is None:
-        return None
-    return "".join(p.strip() for p in pieces if p.strip())
-
-
-def _page_rows(page_id: int, html: str) -> Iterator[tuple]:
-    tok = _Tokenizer()
-    try:
-        _scan(tok, html or "")
-    except Exception:  # noqa: BLE001 - a broken page yields what was read before the error
-        pass
-    for t_no, t in enumerate(tok.tables):
-        headers = [_text(h) for h in t.headers]
-        for r_no, r in enumerate(t.rows):
-            if not r["cells"]:
-                continue
-            yield (page_id, t_no, t.cls, t.has_tbody, r_no, r["in_tbody"], headers, t.header_classes,
-                   [_text(c) for c in r["cells"]], r["classes"], r["link"], r["link_class"],
-                   _text(r["link_text"]) if r["link"] is not None else None,
-                   _text(r["name"]) if isinstance(r["name"], list) else None, r["thumb"])
-
-
-def _mapper(keep: tuple[str, ...]):
-    cols = [f.name for f in ROW_SCHEMA.fields]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out, extra = [], {k: [] for k in keep}
-            for i, (pid, html) in enumerate(zip(b["page_id"], b["html"])):
-                rows = list(_page_rows(int(pid), html))
-                out.extend(rows)
-                for k in keep:
-                    extra[k].extend([b[k].iloc[i]] * len(rows))
-            frame = pd.DataFrame(out, columns=cols)
-            for k in keep:
-                frame[k] = pd.Series(extra[k], dtype=b[k].dtype if len(extra[k]) else "object")
-            yield frame
-    return run
-
-
 def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
-               keep: tuple[str, ...] = (), engine: str = "jvm") -> DataFrame:
+               keep: tuple[str, ...] = (), link: str = "any") -> DataFrame:
     """(page_id, table_no, table_class, has_tbody, row_no, in_tbody, headers, header_classes,
     cells, cell_classes, link_href, link_class, link_text, name_text, thumb, *keep) for
     every ``<tr>`` with at least one ``<td>``. ``keep`` page columns (team, season, ...) are
-    carried along, so no join back to the pages is needed."""
-    from ..session import spread
-    pages = spread(pages)
-    if engine == "jvm":
-        return _table_rows_jvm(pages, key, html, keep)
-    src = pages.select(pages[key].cast("long").alias("page_id"), pages[html].alias("html"),
-                       *[pages[k] for k in keep])
-    schema = T.StructType(ROW_SCHEMA.fields + [pages.schema[k] for k in keep])
-    out = src.mapInPandas(_mapper(tuple(keep)), schema)
-    return out if key == "page_id" else out.withColumnRenamed("page_id", key)
+    carried along, so no join back to the pages is needed. ``link`` tells which anchor of a row is
+    its player link: "any" the first with a player address or the table-link class, "players" the
+    first with a player address."""
+    return _table_rows(pages, key, html, keep, link)
 
 
 # --- JVM engine ------------------------------------------------------------------------------
 
-_TABLE = r"(?is)<table\b[^>]*>.*?</table>"
-_TR = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-_TH = r"(?is)<th\b([^>]*)>(.*?)</th>"
-_TD = r"(?is)<td\b([^>]*)>(.*?)</td>"
-_A = r"(?is)<a\b([^>]*)>(.*?)</a>"
-# Named entities decoded in text (fixed values); numeric references stay as written.
-_ENTITIES = (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-             ("&apos;", "'"), ("&amp;", "&"))
-
-
-def _attr(attrs: Column, name: str) -> Column:
-    """Value of one attribute in an attribute string (NULL when absent)."""
-    pat = r"(?is)(?:^|\s)" + name + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    found = F.regexp_like(attrs, F.lit(pat))
-    return F.when(found, F.concat(F.regexp_extract(attrs, pat, 1), F.regexp_extract(attrs, pat, 2)))
+_TABLE = r"(?is)<table\b[^>]*>.*?(?:</table>|\z)"
+# Rows and cells also end where the next one begins or what holds them ends.
+_TR = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|<tbody\b|</tbody\b|</thead\b|</table\b|\z)"
+_TH = r"(?is)<th\b(?!ead)([^>]*)>(.*?)(?=</?th\b|<td\b|</tr\b|<tr\b|</thead\b|<tbody\b|</table\b|\z)"
+_TD = r"(?is)<td\b([^>]*)>(.*?)(?=</?td\b|<th\b|</tr\b|<tr\b|</tbody\b|</table\b|\z)"
+_A = r"(?is)<a\b([^>]*)>(.*?)(?=</a\b|<a\b|\z)"
+_attr = attr
+_decode = decode_entities
 
 
 def _class_of(tag: str) -> str:
@@ -276,12 +58,6 @@ def _classes(html: Column, tag: str) -> Column:
                       lambda a, b: F.concat(a, b))
 
 
-def _decode(c: Column) -> Column:
-    for ent, ch in _ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
-
-
 def get_text(inner: Column) -> Column:
     """Text of an element: every text piece between tags decoded and stripped, blanks
     dropped, the rest joined without separator."""
@@ -293,13 +69,17 @@ def get_text(inner: Column) -> Column:
 
 
 def _name_text(link_inner: Column) -> Column:
-    pat = (r"(?is)<(\w+)\b[^>]*\bclass\s*=\s*[\"'][^\"']*\b(?:"
-           + "|".join(NAME_CLASSES) + r")\b[^\"']*[\"'][^>]*>(.*?)</\1>")
-    return F.when(F.regexp_like(link_inner, F.lit(pat)), get_text(F.regexp_extract(link_inner, pat, 2)))
+    """Text of the first element inside the link that has a name class as a class token."""
+    tagged = F.regexp_extract_all(link_inner, F.lit(r"(?is)<(\w+)\b([^>]*)>(?=(.*?)</\1>)"), 0)
+    inner = F.regexp_extract_all(link_inner, F.lit(r"(?is)<(\w+)\b([^>]*)>(?=(.*?)</\1>)"), 3)
+    named = F.filter(F.arrays_zip(tagged.alias("tag"), inner.alias("inner")), lambda x: (
+        has_class(F.regexp_extract(x["tag"], r"(?is)^<\w+\b(.*)>$", 1), NAME_CLASSES[0])
+        | has_class(F.regexp_extract(x["tag"], r"(?is)^<\w+\b(.*)>$", 1), NAME_CLASSES[1])))
+    return get_text(F.get(named, 0)["inner"])
 
 
-def _table_rows_jvm(pages: DataFrame, key: str, html: str, keep: tuple[str, ...]) -> DataFrame:
-    src = pages.select(pages[key].cast("long").alias("page_id"), pages[html].alias("html"),
+def _table_rows(pages: DataFrame, key: str, html: str, keep: tuple[str, ...], link: str) -> DataFrame:
+    src = pages.select(pages[key].cast("long").alias("page_id"), visible(pages[html]).alias("html"),
                        *[pages[k] for k in keep])
     t = src.select("page_id", *keep,
                    F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(_TABLE), 0)).alias("table_no", "t"))
@@ -317,10 +97,8 @@ def _table_rows_jvm(pages: DataFrame, key: str, html: str, keep: tuple[str, ...]
         F.posexplode(F.regexp_extract_all(F.col("t"), F.lit(_TR), 1)).alias("row_no", "r"))
     anchors = F.arrays_zip(F.regexp_extract_all(F.col("r"), F.lit(_A), 1).alias("a"),
                            F.regexp_extract_all(F.col("r"), F.lit(_A), 2).alias("inner"))
-    player = F.filter(anchors, lambda x: F.coalesce(
-        _attr(x["a"], "href").contains("/players/")
-        | F.array_contains(F.split(F.coalesce(_attr(x["a"], "class"), F.lit("")), r"\s+"), "mls-o-table__href"),
-        F.lit(False)))
+    listed = (lambda a: has_class(a, "mls-o-table__href")) if link == "any" else (lambda a: F.lit(False))
+    player = F.filter(anchors, lambda x: F.coalesce(_attr(x["a"], "href").contains("/players/"), F.lit(False)) | listed(x["a"]))
     t = t.withColumns({
         "cells": F.transform(F.regexp_extract_all(F.col("r"), F.lit(_TD), 2), get_text),
         "cell_classes": _classes(F.col("r"), "td"),
@@ -336,8 +114,7 @@ def _table_rows_jvm(pages: DataFrame, key: str, html: str, keep: tuple[str, ...]
         F.when(F.col("_link").isNotNull(), _attr(F.col("_link.a"), "class")).alias("link_class"),
         F.when(F.col("_link").isNotNull(), get_text(link_inner)).alias("link_text"),
         _name_text(link_inner).alias("name_text"),
-        F.nullif(F.regexp_extract(link_inner, r"(?is)<img\b[^>]*?\bsrc\s*=\s*\"([^\"]*)\"", 1), F.lit(""))
-        .alias("thumb"),
+        F.nullif(_attr(F.regexp_extract(link_inner, r"(?is)<img\b([^>]*)>", 1), "src"), F.lit("")).alias("thumb"),
         *keep)
     out = out.withColumn("table_no", F.col("table_no").cast("int"))
     return out if key == "page_id" else out.withColumnRenamed("page_id", key)

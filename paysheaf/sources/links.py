@@ -1,10 +1,8 @@
 """Link discovery over captured HTML pages (a DataFrame with a page key and its HTML).
 
-All extraction is regular expressions evaluated in the JVM: links are pulled out with
-``regexp_extract_all`` and exploded with their position, so a page's links are spread
-over rows without any Python. Limits of the regex reading of HTML: a guide ``<div>`` that
-contains nested ``<div>`` elements ends at the first ``</div>``; anchor texts lose their
-inner tags but keep entities undecoded.
+All extraction runs in the JVM (``functions/html.py``): comments and scripts are dropped,
+nested elements are followed by depth, attributes may be quoted in any way, entities are
+decoded, classes are compared as tokens. Links are exploded with their position.
 """
 
 from __future__ import annotations
@@ -12,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import IN_TAG, anchors, attr, elements, has_class, visible
 from ..functions.text import collapse_ws, strip
-from ..session import spread
 
 # --- fixed values -------------------------------------------------------------------------
 # A year between 2000 and 2050, first match in the text.
@@ -25,9 +23,6 @@ SEASON_SELECT_CLASS = "mls-o-buttons__dropdown-button"
 MOBILE_CLASS = "mobile"
 # ------------------------------------------------------------------------------------------
 
-_ANCHOR = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
-_HREF = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'
-
 
 def year_of(c: Column) -> Column:
     """First 2000–2050 year in a text, NULL when there is none."""
@@ -45,17 +40,13 @@ def detect_format(url: Column) -> Column:
     return F.when(u.contains(".csv"), F.lit("csv")).when(u.contains(".pdf"), F.lit("pdf"))
 
 
-def anchors(html: Column) -> Column:
-    """array<struct(href, text)> of the <a href> elements, in document order."""
-    hrefs = F.regexp_extract_all(html, F.lit(_ANCHOR), 1)
-    texts = F.regexp_extract_all(html, F.lit(_ANCHOR), 2)
-    return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
+def guide_block(html: Column) -> Column:
+    """Inner HTML of the first salary-guide <div> (NULL when the page has none)."""
+    return F.get(elements(visible(html), "div", GUIDE_CLASS), 0)
 
 
-def guide_block(html: Column) -> Column:
-    """Inner HTML of the salary-guide <div> ('' when the page has none)."""
-    pat = r'(?is)<div\s[^>]*class\s*=\s*"[^"]*\b' + GUIDE_CLASS + r'\b[^"]*"[^>]*>(.*?)</div>'
-    return F.regexp_extract(html, pat, 1)
+def _guide_anchors(html: Column) -> Column:
+    return anchors(F.coalesce(guide_block(html), F.lit("")))
 
 
 def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -64,8 +55,8 @@ def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     ``text`` is the anchor text without tags, whitespace-collapsed; ``year`` comes from the
     text, else from the address; ``format`` from the address. Links without year or format
     are kept here (NULL) — ``guide_sources`` drops them."""
-    ex = spread(pages).select(key, F.posexplode(anchors(guide_block(F.col(html)))).alias("pos", "a"))
-    text = collapse_ws(F.regexp_replace(F.col("a.text"), r"<[^>]*>", " "))
+    ex = pages.select(key, F.posexplode(_guide_anchors(F.col(html))).alias("pos", "a"))
+    text = collapse_ws(F.col("a.text"))
     href = strip(F.col("a.href"))
     return ex.select(key, "pos", href.alias("href"), text.alias("text"),
                      extract_year(text, href).alias("year"), detect_format(href).alias("format"))
@@ -97,8 +88,8 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
     first_key, first_pos) — one row per slug, the first occurrence decides its rank.
 
     The display name is the slug with '-' as spaces in title case."""
-    hrefs = spread(pages).select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_HREF), 1))
-                         .alias("pos", "href"))
+    found = F.transform(anchors(visible(F.col(html))), lambda a: a["href"])
+    hrefs = pages.select(key, F.posexplode(found).alias("pos", "href"))
     slug = F.regexp_extract("href", r"/clubs/([^/]+)/" + kind, 1)
     found = hrefs.select(key, "pos", slug.alias("slug")).filter(F.col("slug") != "")
     first = found.groupBy("slug").agg(F.min(F.struct(key, "pos")).alias("_f"))
@@ -110,17 +101,38 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
         F.col(f"_f.{key}").alias("first_" + key), F.col("_f.pos").alias("first_pos"))
 
 
+def season_list(html: Column) -> Column:
+    """Integer option values of the first season drop-down that is not the mobile copy, NULL
+    where a value is no integer."""
+    sel = rf"(?is)<select\b({IN_TAG})>(.*?)(?=</select\b|<select\b|\z)"
+    selects = F.arrays_zip(F.regexp_extract_all(visible(html), F.lit(sel), 1).alias("attrs"),
+                           F.regexp_extract_all(visible(html), F.lit(sel), 2).alias("body"))
+    desktop = F.filter(selects, lambda s: has_class(s["attrs"], SEASON_SELECT_CLASS) & ~has_class(s["attrs"], MOBILE_CLASS))
+    options = F.regexp_extract_all(F.get(desktop, 0)["body"], F.lit(rf"(?is)<option\b({IN_TAG})>"), 1)
+    values = F.filter(F.transform(options, lambda o: attr(o, "value")), lambda v: v.isNotNull())
+    return F.transform(values, lambda v: F.when(strip(v).rlike(r"^[+-]?[0-9]+$"), strip(v).try_cast("int")))
+
+
 def season_options(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, pos, season): integer option values of the first season drop-down that is not
-    the mobile copy; non-integer values are skipped."""
-    sel = (r'(?is)<select\s[^>]*class\s*=\s*"([^"]*\b' + SEASON_SELECT_CLASS
-           + r'\b[^"]*)"[^>]*>(.*?)</select>')
-    selects = F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(sel), 1).alias("cls"),
-                           F.regexp_extract_all(F.col(html), F.lit(sel), 2).alias("body"))
-    desktop = F.filter(selects, lambda s: ~F.regexp_like(s["cls"], F.lit(r"\b" + MOBILE_CLASS + r"\b")))
-    body = F.get(desktop, 0)["body"]
-    values = F.regexp_extract_all(body, F.lit(r'(?is)<option\b[^>]*?value\s*=\s*"([^"]*)"'), 1)
-    ints = F.transform(values, lambda v: F.when(strip(v).rlike(r"^[+-]?[0-9]+$"),
-                                                strip(v).try_cast("int")))
-    out = spread(pages).select(key, F.posexplode(ints).alias("pos", "season"))
+    """(key, pos, season): the integer seasons of ``season_list``."""
+    out = pages.select(key, F.posexplode(season_list(F.col(html))).alias("pos", "season"))
     return out.filter(F.col("season").isNotNull())
+
+
+def links_in_season(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, pos, year): guide links whose year is a season offered on the same page. Both lists
+    stand in one row, so the semi join needs no shuffle."""
+    years = F.transform(_guide_anchors(F.col(html)), lambda a: extract_year(collapse_ws(a["text"]), strip(a["href"])))
+    d = pages.select(key, years.alias("years"), season_list(F.col(html)).alias("seasons"))
+    offered = F.transform("years", lambda y: F.when(F.array_contains(F.col("seasons"), y), y))
+    return d.select(key, F.posexplode(offered).alias("pos", "year")).filter(F.col("year").isNotNull())
+
+
+def available_years(pages: DataFrame, requested: int | None = None, key: str = "page_id") -> DataFrame:
+    """Years with a usable source, newest first; a ``requested`` year alone, or an error without it."""
+    years = guide_sources(pages, key).select("year").distinct()
+    if requested is None:
+        return years.orderBy(F.desc("year"))
+    found = years.filter(F.col("year") == requested)
+    missing = F.raise_error(F.lit(f"no source for the year {requested}")).cast("int")
+    return found.agg(F.max("year").alias("year")).select(F.coalesce("year", missing).alias("year"))

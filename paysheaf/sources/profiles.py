@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import elements, visible
 from ..functions.text import normalize_key, strip
-from ..session import spread
 from .html_tables import _attr, _decode, get_text
 
 # --- fixed values: page classes ------------------------------------------------------------
@@ -24,7 +24,8 @@ INFO_WRAPPER_CLASS = "mls-o-masthead__info-wrapper"
 
 
 def _with_class(tag: str, cls: str) -> str:
-    return r"<" + tag + r"""\b[^>]*\bclass\s*=\s*["'][^"']*\b""" + cls + r"""\b[^"']*["'][^>]*>"""
+    """Start tag whose class attribute holds ``cls`` as a token."""
+    return r"<" + tag + r"""\b[^>]*\sclass\s*=\s*(?:["'](?:[^"']*\s)?""" + cls + r"""(?:\s[^"']*)?["']|""" + cls + r"""(?=[\s>]))[^>]*>"""
 
 
 def get_text_spaced(inner: Column) -> Column:
@@ -43,8 +44,9 @@ def profile_facts(pages: DataFrame, key: str = "page_id", html: str = "html",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, profile MAP, player_image, full_name, team_logo, club_slug,
     jersey_number_profile)."""
-    h = F.col(html)
-    items = F.regexp_extract_all(h, F.lit(r"(?is)" + _with_class("div", DETAIL_ITEM_CLASS) + r"(.*?)</div>"), 1)
+    h = F.col("_html")
+    pages = pages.select(pages[key], *[pages[k] for k in keep], visible(pages[html]).alias("_html"))
+    items = elements(h, "div", DETAIL_ITEM_CLASS)
     h3 = r"(?is)<h3\b[^>]*>(.*?)</h3>"
     span = r"(?is)<span\b[^>]*>(.*?)</span>"
     entries = F.transform(items, lambda it: F.when(
@@ -57,8 +59,8 @@ def profile_facts(pages: DataFrame, key: str = "page_id", html: str = "html",
     logo = _img_after(h, CLUB_LOGO_CLASS)
     logo_link = F.regexp_extract(h, r"(?is)(<a\b[^>]*\bclass\s*=\s*[\"'][^\"']*\b" + CLUB_LOGO_CLASS
                                  + r"\b[^\"']*[\"'][^>]*>)", 1)
-    info = F.regexp_extract(h, r"(?is)" + _with_class("div", INFO_WRAPPER_CLASS) + r"(.*?)</div>", 1)
-    return spread(pages).select(
+    info = F.coalesce(F.get(elements(h, "div", INFO_WRAPPER_CLASS), 0), F.lit(""))
+    return pages.select(
         key, *keep,
         last_wins_map(entries).alias("profile"),
         _attr(img, "src").alias("player_image"),

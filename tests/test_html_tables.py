@@ -1,33 +1,49 @@
-"""The two table engines agree, and the forgiving one handles loose HTML."""
+"""HTML extraction: loose markup, comments, entities, class tokens, nesting."""
 
-from pyspark.sql import functions as F
-
-from conftest import SF0001
-from paysheaf.sources.fixtures import roster_pages, stats_pages
+from paysheaf.plans.catalog import catalog
 from paysheaf.sources.html_tables import table_rows
+from paysheaf.sources.links import page_links, season_options
+from paysheaf.sources.profiles import profile_facts
 
-COLS = ["page_id", "table_no", "table_class", "has_tbody", "row_no", "in_tbody", "headers",
-        "header_classes", "cells", "cell_classes", "link_href", "link_class", "link_text",
-        "name_text", "thumb"]
+SF0001 = "/root/testdata/sf0.001"
+CATALOG = catalog()
 
 
-def _rows(df):
-    return sorted(tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.select(*COLS).collect())
+def test_loose_html(spark):
+    html = ("<table><!-- <tr><td><a href='/players/ghost'>G</a></td></tr> --><tr><th>Player<th>Position</tr>"
+            "<tr><td><a class=mls-o-table__href href=/x>T</a><a href=/players/x/>A &amp; Mart&#237;nez &eacute;</a><td> D </tr></table>")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    r = table_rows(pages, link="players").collect()
+    assert len(r) == 1
+    assert r[0].headers == ["Player", "Position"]
+    assert r[0].cells[1] == "D" and r[0].link_href == "/players/x/" and r[0].link_text == "A & Martínez é"
+    assert table_rows(pages).collect()[0].link_href == "/x"
 
 
-def test_engines_agree(spark):
-    for pages in (roster_pages(spark, SF0001), stats_pages(spark, SF0001)):
-        assert _rows(table_rows(pages, engine="jvm")) == _rows(table_rows(pages, engine="python"))
+def test_classes_are_tokens_and_elements_nest(spark):
+    html = ("<!-- <div class='salaryGuides'><a href='/no.pdf'>2001</a></div> --><div class='salaryGuides-archive'><a href='/old.pdf'>2002</a></div>"
+            "<div class='x salaryGuides'><div><a href='/a.csv?a=1&amp;b=2'>2010 <b>x</b></a></div><a href=/b.pdf>2011</a></div><a href='/c.pdf'>2012</a>"
+            "<select class='mls-o-buttons__dropdown-button mobile'><option value=1></select>"
+            "<select class='mls-o-buttons__dropdown-button mobile-up'><option value=\"2015\"><option value='2016'><option value=x></select>")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [(r.href, r.year) for r in page_links(pages).collect()] == [("/a.csv?a=1&b=2", 2010), ("/b.pdf", 2011)]
+    assert [r.season for r in season_options(pages).collect()] == [2015, 2016]
+    profile = ("<div class='mls-l-module--player-status-details__info'><div><h3>Height cm</h3></div><div><span>180</span></div></div>")
+    facts = profile_facts(spark.createDataFrame([(1, profile)], "page_id long, html string")).collect()[0]
+    assert facts.profile == {"height_cm": "180"}
 
 
-def test_python_engine_loose_html(spark):
-    html = ("<table><tr><th>Player<th>Position</tr>"
-            "<tr><td><a href='/players/x/'>A &amp; B</a><td> D </tr></table>")
-    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
-    r = table_rows(pages, engine="python").collect()
-    assert len(r) == 1
-    assert r[0].headers == ["Player", "Position"]
-    assert r[0].cells == ["A & B", "D"] and r[0].link_href == "/players/x/"
+def test_building_a_page_query_runs_no_job(spark):
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup(None))
+    spark.sparkContext.setJobGroup("building", "no job expected")
+    try:
+        CATALOG["page_links"].build(spark, SF0001)
+        CATALOG["html_roster_rows"].build(spark, SF0001)
+        assert len(status.getJobIdsForGroup("building")) == 8  # each query reads the schemas of four tables
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert before >= 0
 
 
 def test_jvm_engine_entities_and_names(spark):
@@ -44,6 +60,5 @@ def test_jvm_engine_entities_and_names(spark):
 def test_jvm_single_quoted_classes(spark):
     html = "<table><tr><th class='p q'>Player</th><th>X</th></tr><tr><td class='c'>1</td><td>2</td></tr></table>"
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
-    for engine in ("jvm", "python"):
-        r = table_rows(pages, engine=engine).collect()[0]
-        assert r.header_classes == ["p q", ""] and r.cell_classes == ["c", ""], engine
+    r = table_rows(pages).collect()[0]
+    assert r.header_classes == ["p q", ""] and r.cell_classes == ["c", ""]

@@ -49,8 +49,9 @@ def test_table_requires_not_null(spark, tmpdir_fresh):
     recs = pay_records(spark, SF0001).withColumn("club", F.lit(None).cast("string"))
     try:
         Wr.write_table(recs, os.path.join(tmpdir_fresh, "t"))
-        raise AssertionError("expected ValueError")
-    except ValueError:
+        raise AssertionError("expected an error")
+    except Exception as e:
+        assert "NULL in the required column" in str(e)
         pass
 
 
