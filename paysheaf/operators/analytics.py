@@ -8,7 +8,8 @@ Missing-value rules used throughout:
 * means are ``sum / count`` in DOUBLE, rounding is half-to-even (``bround``);
 * descending sorts put NULL last; ties are broken by ``record_id`` (input order).
 
-Every function returns a lazy DataFrame; grouping runs as partial (map-side) plus final
+Every function returns a DataFrame and runs nothing itself (``spending_pivot`` without a club
+list reads the clubs first); grouping runs as partial (map-side) plus final
 hash aggregation, top-k as ``TakeOrderedAndProject`` or a per-group ``WindowGroupLimit``.
 """
 
@@ -44,13 +45,6 @@ def money_mean(c: str) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c))
 
 
-def quantile(c: str, p: float) -> Column:
-    """Exact quantile with linear interpolation as a single aggregate (NULLs skipped).
-    Its final task holds every distinct value of the group; the reports below use
-    ``with_quantiles`` instead, which spreads that work (``operators/quantiles.py``)."""
-    return F.percentile(dbl(c), F.lit(p))
-
-
 def with_quantiles(agg: DataFrame, df: DataFrame, specs: dict[str, tuple[str, float]],
                    keys: Sequence[str] = ()) -> DataFrame:
     """Add exact quantile columns to a per-group aggregate: ``specs`` maps an output name

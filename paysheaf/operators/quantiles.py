@@ -3,18 +3,15 @@
 ``percentile`` merges the distinct values of a group in one final task — for a global
 percentile over a large column that is one task holding the column. Here:
 
-1. distinct (group, value) with counts — partial aggregation, so a hot value is one row;
-2. ``repartitionByRange`` on (group, value) — sampled boundaries give balanced partitions,
-   a hot group is spread over many of them; checkpointed (reliable) with its partitioning;
-3. per (partition, group) totals -> offsets of each partition inside its group (a window
-   over at most partitions + groups rows);
-4. running sums inside each (partition, group) -> the rank range of every distinct value;
-5. target ranks floor/ceil(p * (n - 1)) per (group, p) — groups × 2·|ps| rows, broadcast
-   after a size check — joined on the group key with a rank-range condition;
-6. interpolation ``lo + (hi - lo) * frac`` per (group, p).
-
-Every step works on distinct values spread over balanced partitions; only the per-group
-totals and the target table are small by construction.
+1. one mergeable sketch per group (``percentile_approx``, partial aggregation) brackets every
+   wanted rank between two values;
+2. one scan joins the brackets (a row per group), counts the values below each bracket and keeps
+   the distinct values inside it with their counts — about 0.2 % of the ranks per percentile,
+   reduced in the map tasks, so a hot group or a hot value is a few rows;
+3. running counts inside each bracket give the exact values at ranks floor and ceil of
+   p * (n - 1), which are interpolated.
+
+Everything is lazy; nothing is sorted but the values inside the brackets.
 """
 
 from __future__ import annotations
@@ -24,66 +21,50 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, sized_broadcast
-
-# Largest target table (groups × 2 × percentiles) that is broadcast.
-MAX_TARGET_ROWS = 2_000_000
+# Ranks a bracket reaches to each side, as a share of the group; the sketch is ten times finer.
+REACH = 0.001
+ACCURACY = 10_000
+# Below this many values the reach is less than the sketch's rounding: the bracket is everything.
+FEW = 4_000
 _G = "_qgroup"
 
 
 def exact_quantiles(df: DataFrame, column: Column | str, ps: Sequence[float],
-                    group_cols: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """(*group_cols, p, value): the exact p-quantiles of ``column`` per group (DOUBLE);
     groups with no non-NULL value are absent."""
-    spark = df.sparkSession
     x = (F.col(column) if isinstance(column, str) else column).cast("double")
     g = list(group_cols) if group_cols else [_G]
     src = df.select(*[F.col(c) for c in group_cols], x.alias("_x"))
     if not group_cols:
         src = src.withColumn(_G, F.lit(0))
-    vc = src.filter(F.col("_x").isNotNull()).groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    n_parts = partitions or max(spark.sparkContext.defaultParallelism,
-                                int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = cut_lineage(vc.repartitionByRange(n_parts, *[F.col(c) for c in g], F.col("_x"))
-                         .withColumn("_pid", F.spark_partition_id()))
-
-    part = ranged.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
-    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part.withColumn("_off", F.coalesce(F.sum("_pc").over(before), F.lit(0))) \
-        .select("_pid", *g, "_off")
-    totals = part.groupBy(*g).agg(F.sum("_pc").alias("_n"))
-
-    running = Window.partitionBy("_pid", *g).orderBy("_x") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = ranged.withColumn("_end", F.sum("_c").over(running)).join(offsets, ["_pid", *g])
-    ranked = ranked.select(*g, "_x", (F.col("_off") + F.col("_end") - F.col("_c")).alias("_first"),
-                           (F.col("_off") + F.col("_end") - 1).alias("_last"))
-
-    pos = [(F.lit(float(p)) * (F.col("_n") - 1)) for p in ps]
-    targets = totals.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(float(p)).alias("p"), ps_pos.alias("pos"),
-                 F.floor(ps_pos).cast("long").alias("lo"), F.ceil(ps_pos).cast("long").alias("hi"))
-        for p, ps_pos in zip(ps, pos)])).alias("t")).select(*g, "t.*")
-    ends = targets.select(*g, "p", "pos", "lo", F.explode(F.array(
-        F.struct(F.lit("lo").alias("end"), F.col("lo").alias("rank")),
-        F.struct(F.lit("hi").alias("end"), F.col("hi").alias("rank")))).alias("e")) \
-        .select(*g, "p", "pos", "lo", "e.end", "e.rank")
-    ends = ends.select(*[F.col(c).alias("_t" + c) for c in g], "p", "pos", "lo", "end", "rank")
-    ends = sized_broadcast(cut_lineage(ends), MAX_TARGET_ROWS)
-
-    cond = None
-    for c in g:
-        e = F.col(c) == F.col("_t" + c)
-        cond = e if cond is None else cond & e
-    cond = cond & (F.col("rank") >= F.col("_first")) & (F.col("rank") <= F.col("_last"))
-    hits = ranked.join(ends, cond).select(*g, "p", "pos", "lo", "end", "_x")
-    vals = hits.groupBy(*g, "p").agg(
-        F.max(F.when(F.col("end") == "lo", F.col("_x"))).alias("_vlo"),
-        F.max(F.when(F.col("end") == "hi", F.col("_x"))).alias("_vhi"),
-        F.first("pos").alias("_pos"), F.first("lo").alias("_lo"))
-    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
-    out = vals.select(*[F.col(c) for c in group_cols], "p", value.alias("value"))
-    return out
+    src = src.filter(F.col("_x").isNotNull())
+
+    edges = [min(1.0, max(0.0, p + side * REACH)) for p in ps for side in (-1, 1)]
+    sketch = src.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(
+        "_x", F.array(*[F.lit(e) for e in edges]), ACCURACY).alias("_e"))
+    few = F.col("_n") < FEW
+    brackets = F.array(*[F.struct(
+        F.lit(float(p)).alias("p"),
+        F.when(few, F.lit(float("-inf"))).otherwise(F.get("_e", F.lit(2 * k))).alias("lo"),
+        F.when(few, F.lit(float("inf"))).otherwise(F.get("_e", F.lit(2 * k + 1))).alias("hi")) for k, p in enumerate(ps)])
+    sketch = sketch.select(*g, "_n", brackets.alias("_b"))
+
+    upto = F.filter("_b", lambda b: F.col("_x") <= b["hi"])
+    kept = src.join(sketch, g).select(*g, "_n", F.explode(F.transform(upto, lambda b: F.struct(
+        b["p"].alias("p"), F.when(F.col("_x") >= b["lo"], F.col("_x")).alias("v")))).alias("k"))
+    # v is NULL for the values below a bracket: one row that carries their count.
+    counts = kept.groupBy(*g, "_n", F.col("k.p").alias("p"), F.col("k.v").alias("v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*g, "p").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.col("p") * (F.col("_n") - 1)
+    ranked = counts.withColumn("_last", F.sum("_c").over(run) - 1).withColumn("_first", F.col("_last") - F.col("_c") + 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("v")))
+
+    vals = ranked.groupBy(*g, "p").agg(at(F.floor(pos)).alias("_vlo"), at(F.ceil(pos)).alias("_vhi"), F.max(pos).alias("_pos"))
+    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.floor("_pos"))
+    return vals.select(*[F.col(c) for c in group_cols], "p", value.alias("value"))
 
 
 def quantile_columns(df: DataFrame, column: Column | str, ps: dict[str, float],
