@@ -98,6 +98,28 @@ def enrich_left(stats: DataFrame, profiles: DataFrame) -> DataFrame:
                                                         F.create_map().cast("map<string,string>")))
 
 
+def profile_entries(details: Column, image: Column) -> Column:
+    """Profile map of a record: cleaned details, and the row's image as ``player_image_thumb``."""
+    prof = F.coalesce(details, F.create_map().cast("map<string,string>"))
+    entries = F.transform(F.map_entries(prof), lambda e: F.struct(
+        e["key"].alias("k"), blank_to_null(e["value"]).alias("v")))
+    img = F.when(F.coalesce(image, F.lit("")) != "",
+                 F.array(F.struct(F.lit("player_image_thumb").alias("k"), image.alias("v"))))\
+        .otherwise(F.array().cast("array<struct<k:string,v:string>>"))
+    return last_wins_map(F.concat(entries, img))
+
+
+def page_profiles(facts: DataFrame) -> DataFrame:
+    """Profile facts of captured pages -> (player_url, fetch_order, profile): the detail items with the
+    masthead's large image, full name and club logo, where the page has them; a detail item of the same
+    name wins. Feeds ``enrich_left``."""
+    masthead = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("v")) for k, c in (
+        ("player_image_large", "player_image"), ("full_name", "full_name"), ("team_logo", "team_logo"))]),
+        lambda e: e["v"].isNotNull())
+    items = F.transform(F.map_entries("profile"), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+    return facts.select("player_url", F.col("page_id").alias("fetch_order"), last_wins_map(F.concat(masthead, items)).alias("profile"))
+
+
 def stats_normalize(raw: DataFrame) -> DataFrame:
     """Raw stats rows -> player-stats records (7 base fields + ``stats`` + ``profile``).
 
@@ -108,12 +130,6 @@ def stats_normalize(raw: DataFrame) -> DataFrame:
     stats = F.coalesce(F.col("stats"), F.create_map().cast("map<string,string>"))
     entries = F.transform(F.map_entries(stats), lambda e: F.struct(
         normalize_key(e["key"]).alias("k"), strip_or_null(e["value"]).alias("v")))
-    prof = F.coalesce(F.col("profile_details"), F.create_map().cast("map<string,string>"))
-    prof_entries = F.transform(F.map_entries(prof), lambda e: F.struct(
-        e["key"].alias("k"), blank_to_null(e["value"]).alias("v")))
-    img = F.when(F.coalesce(F.col("player_image"), F.lit("")) != "",
-                 F.array(F.struct(F.lit("player_image_thumb").alias("k"), F.col("player_image").alias("v"))))\
-        .otherwise(F.array().cast("array<struct<k:string,v:string>>"))
     out = raw.select(
         F.coalesce("team_name", F.lit("")).alias("team_name"),
         F.coalesce("team_slug", F.lit("")).alias("team_slug"),
@@ -123,7 +139,7 @@ def stats_normalize(raw: DataFrame) -> DataFrame:
         F.coalesce("player_url", F.lit("")).alias("player_url"),
         F.coalesce("club", F.lit("")).alias("club"),
         last_wins_map(entries).alias("stats"),
-        last_wins_map(F.concat(prof_entries, img)).alias("profile"))
+        profile_entries(F.col("profile_details"), F.col("player_image")).alias("profile"))
     return out.filter(F.col("player_name") != "")
 
 

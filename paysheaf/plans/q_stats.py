@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from ..operators import stats as S
 from ..session import cut_lineage
 from ..schemas import STAT_TYPES, STATS_BASE_FIELDS
-from ..sources.fixtures import FIXTURE_BASE_URL, player_profiles, stats_pages
+from ..functions.text import map_prefix_select
+from ..sources.fixtures import FIXTURE_BASE_URL, player_profiles, profile_pages, stats_pages
 from ..sources.html_tables import table_rows
+from ..sources.profiles import profile_facts
+from ..sources.tables import read_table
 from .catalog import query
-from .oracle_fixtures import STATS_SRC, with_
+from .oracle_fixtures import PROFILE_SRC, STATS_SRC, with_
 
 W = with_(STATS_SRC)
 STAT_KEYS = ("games_played", "k", "value")
@@ -82,6 +85,35 @@ def stats_normalize(spark, sf):
                     map_text(F.col("stats")).alias("stats"), map_text(F.col("profile")).alias("profile"))
 
 
+@query("stats_from_profile_pages", with_(STATS_SRC, PROFILE_SRC) + """
+SELECT s.page_id, s.player_url, CASE WHEN p.player_url IS NULL THEN 'player_image_thumb=' || s.player_image ELSE
+  replace(replace(p.details, ';height_cm=', ';full_name=' || p.full_name || ';height_cm='), ';position=',
+    ';player_image_large=' || p.player_image || ';player_image_thumb=' || s.player_image || ';position=')
+  || ';team_logo=' || p.team_logo END AS profile
+FROM stats_src s LEFT JOIN profile_src p ON replace(s.player_url, '/players/u', '/players/c') = p.player_url""")
+def stats_from_profile_pages(spark, sf):
+    """Stats rows enriched from the captured profile pages of their players (image, logo and name
+    from the masthead, details from the info items)."""
+    facts = profile_facts(profile_pages(spark, sf), keep=("player_url",))
+    raw = _raw(spark, sf)
+    linked = raw.withColumn("player_url", F.replace("player_url", F.lit("/players/u"), F.lit("/players/c")))
+    rec = S.enrich_left(linked, S.page_profiles(facts))
+    shown = F.replace("player_url", F.lit("/players/c"), F.lit("/players/u")).alias("player_url")
+    pairs = S.profile_entries(F.col("profile_details"), F.col("player_image"))
+    return rec.select("page_id", shown, map_text(pairs).alias("profile"))
+
+
+@query("map_prefix_select", """
+SELECT c_custkey, 'name=' || trim(regexp_replace(c_name, '\\s+', ' ', 'g'))
+  || ';segment=' || CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment ELSE '~' END AS profile FROM customer""")
+def map_prefix_select_query(spark, sf):
+    """The set entries with the ``profile_`` prefix, cut from the keys."""
+    c = read_table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
+    m = F.create_map(F.lit("profile_name"), F.col("c_name"), F.lit("profile_segment"),
+                     F.when(F.col("c_custkey") % 2 == 1, F.col("c_mktsegment")).otherwise(" "), F.lit("segment"), F.lit("x"))
+    return c.select("c_custkey", map_text(map_prefix_select(m, "profile_")).alias("profile"))
+
+
 def _flat_sql() -> str:
     cols = []
     for st in sorted(STAT_TYPES):
