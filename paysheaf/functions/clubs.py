@@ -91,8 +91,9 @@ CLUB_FIRST_WORDS_COMPAT = (
 
 
 def reference_club_dim(spark: SparkSession) -> DataFrame:
-    """The league's club dimension built from the fixed tables above."""
-    rows = ([("code", k, v) for k, v in CLUB_CODES.items()]
+    """The league's club dimension built from the fixed tables above, with one display name per
+    club: a code whose club is also listed by name gets that name's spelling."""
+    rows = ([("code", k, CLUB_NAMES.get(v.lower(), v)) for k, v in CLUB_CODES.items()]
             + [("name", k, v) for k, v in CLUB_NAMES.items()])
     return spark.createDataFrame(rows, CLUB_DIM)
 

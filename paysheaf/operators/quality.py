@@ -202,6 +202,7 @@ def dq_report(df: DataFrame, cols: Sequence[str] = tuple(SALARY_FIELDS),
     total = F.count(F.lit(1))
     complete = F.count_if(_complete(cols))
     missing_pos = F.count_if(_missing_position())
+    # The names of checks and metrics, here and in the parts added below.
     metrics: list[tuple[str, str, Column]] = [
         ("summary", "total_records", total),
         ("summary", "complete_records", complete),
