@@ -46,7 +46,7 @@ def test_g3_g4_g6_g7(spark, compat):
             "Total $1".split(), "Rovers Doe Jane M-F $1 $2".split()]
     assert run(spark, H1, rows, compat=compat) == [
         ("New York City FC", "Doe", "Jane", "D", D("1000.00"), D("2000.50")),
-        ("Seattle Sounders", "", "", "KIM", D("5.00"), D("6.00")),
+        ("Seattle Sounders FC", "", "", "KIM", D("5.00"), D("6.00")),
         ("Rovers", "Doe", "Jane", "M-F", D("1.00"), D("2.00")),
     ]
 
@@ -54,7 +54,7 @@ def test_g3_g4_g6_g7(spark, compat):
 def test_g5_lone_dollar(spark):
     row = ["SEA Doe Jane M $ 1,000 $ 2,000".split()]
     assert run(spark, H1, row, compat=True) == []
-    assert run(spark, H1, row) == [("Seattle Sounders", "Doe", "Jane", "M", D("1000.00"), D("2000.00"))]
+    assert run(spark, H1, row) == [("Seattle Sounders FC", "Doe", "Jane", "M", D("1000.00"), D("2000.00"))]
 
 
 @pytest.mark.parametrize("compat", [True, False])
@@ -70,7 +70,7 @@ def test_g8_to_g10_names_first(spark, compat):
 
 def test_g11_trailing_position(spark):
     got = run(spark, H_CELLS, ["SEA Doe Jane $1 $2 M".split()])
-    assert got == [("Seattle Sounders", "Doe", "Jane", "M", D("1.00"), D("2.00"))]
+    assert got == [("Seattle Sounders FC", "Doe", "Jane", "M", D("1.00"), D("2.00"))]
 
 
 def test_g12_g13_index_route(spark):
