@@ -199,32 +199,36 @@ def dq_report(df: DataFrame, cols: Sequence[str] = tuple(SALARY_FIELDS),
               column: str = SALARY) -> DataFrame:
     """All checks as one long table (check, metric, value DOUBLE)."""
     lower, upper = iqr_fences(df, column)
-    total = F.count(F.lit(1))
-    complete = F.count_if(_complete(cols))
-    missing_pos = F.count_if(_missing_position())
+    counts = {
+        "total": F.count(F.lit(1)), "complete": F.count_if(_complete(cols)), "missing_pos": F.count_if(_missing_position()),
+        "outlier": F.count_if(_outside(column, lower, upper)), "zero": F.count_if(F.col(column) == 0),
+        "negative": F.count_if(F.col(column) < 0),
+        **{f"null.{c}": F.count_if(F.col(c).isNull()) for c in cols},
+        **{f"empty.{c}": F.count_if(F.col(c) == "") for c in cols if _is_string(df, c)},
+    }
+    # All counters once per (year, club, position); the distinct counts are then over that short frame.
+    per = df.groupBy("year", "club", "position").agg(*[x.alias(f"n{i}") for i, x in enumerate(counts.values())])
+    n = {k: F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i, k in enumerate(counts)}
     # The names of checks and metrics, here and in the parts added below.
     metrics: list[tuple[str, str, Column]] = [
-        ("summary", "total_records", total),
-        ("summary", "complete_records", complete),
+        ("summary", "total_records", n["total"]),
+        ("summary", "complete_records", n["complete"]),
         ("summary", "completeness_pct",
-         F.coalesce(F.try_divide(complete, total) * F.lit(100.0), F.lit(0.0))),
+         F.coalesce(F.try_divide(n["complete"], n["total"]) * F.lit(100.0), F.lit(0.0))),
         ("summary", "year_count", F.count_distinct("year")),
         ("summary", "club_count", F.count_distinct("club")),
         ("salary_outliers", "lower_bound", F.bround(lower, 2)),
         ("salary_outliers", "upper_bound", F.bround(upper, 2)),
-        ("salary_outliers", "outlier_count", F.count_if(_outside(column, lower, upper))),
-        ("salary_outliers", "zero_salary_count", F.count_if(F.col(column) == 0)),
-        ("salary_outliers", "negative_salary_count", F.count_if(F.col(column) < 0)),
-        ("invalid_positions", "missing_position_count", missing_pos),
-        ("invalid_positions", "missing_position_pct",
-         F.try_divide(missing_pos, total) * F.lit(100.0)),
+        ("salary_outliers", "outlier_count", n["outlier"]),
+        ("salary_outliers", "zero_salary_count", n["zero"]),
+        ("salary_outliers", "negative_salary_count", n["negative"]),
+        ("invalid_positions", "missing_position_count", n["missing_pos"]),
+        ("invalid_positions", "missing_position_pct", F.try_divide(n["missing_pos"], n["total"]) * F.lit(100.0)),
         ("invalid_positions", "unique_positions", F.count_distinct("position")),
     ]
-    for c in cols:
-        metrics.append(("missing_values", f"null_values.{c}", F.count_if(F.col(c).isNull())))
-        if _is_string(df, c):
-            metrics.append(("missing_values", f"empty_strings.{c}", F.count_if(F.col(c) == "")))
-    counters = df.agg(*[m[2].cast("double").alias(f"m{i}") for i, m in enumerate(metrics)])
+    metrics += [("missing_values", f"null_values.{c}", n[f"null.{c}"]) for c in cols]
+    metrics += [("missing_values", f"empty_strings.{c}", n[f"empty.{c}"]) for c in cols if f"empty.{c}" in n]
+    counters = per.agg(*[m[2].cast("double").alias(f"m{i}") for i, m in enumerate(metrics)])
     long = counters.select(F.inline(F.array(*[
         F.struct(F.lit(chk).alias("check"), F.lit(name).alias("metric"), F.col(f"m{i}").alias("value"))
         for i, (chk, name, _) in enumerate(metrics)])))
