@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 #: Whitespace that separates words, as the inside of a character class.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows with 8-byte keys that may be broadcast: 2 million rows are about 32 MB.
-BROADCAST_KEYS = 2_000_000
+#: Rows with 8-byte keys that may be broadcast: about 50 MB as a hash table with its copy at the driver.
+BROADCAST_KEYS = 400_000
 
 _LOCAL: dict[str, str] = {}
 

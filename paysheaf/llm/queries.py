@@ -62,11 +62,37 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
-    "op10_exact_dedup": """
+    "op5_ngram_jaccard": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda t: t <> '') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0) t),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.k >= 85 * (x.n + y.n - p.k)),
+        ends AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, ends.b FROM r JOIN ends ON r.reach = ends.a)
+        SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.reach) AS component_id
+        FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
+    "op6_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (
+            SELECT q.vec_id AS query_id, x.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * x.c[i])) AS BIGINT) AS score
+            FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM p) t WHERE rank <= 20""",
+    "op10_exact_dedup": f"""
         WITH d AS (
-            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
-            FROM documents)
+            SELECT doc_id, {_LOWER} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)""",

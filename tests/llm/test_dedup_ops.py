@@ -115,6 +115,7 @@ def test_ngram_join_matches_brute_force(edge, no_docs, monkeypatch):
     rows, docs = edge
     # Small nodes and leaves: large buckets are split, and pairs go through the tree.
     monkeypatch.setattr(ngram_join, "NODE", 3)
+    monkeypatch.setattr(ngram_join, "LEAF", 2)
     got = sorted((tuple(r) for r in ngram_join.near_duplicates(docs, size=4, percent=85).collect()), key=str)
     assert got == brute(rows, 4, 85)
     assert ngram_join.near_duplicates(no_docs).count() == 0
@@ -125,8 +126,8 @@ def test_tree_finds_links_that_stars_miss(spark):
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(-2**62, 2**62, 60)) for _ in range(20)]
     sets += [np.unique(np.concatenate([s[:57], rng.integers(-2**62, 2**62, 3)])) for s in sets]
-    members = [(7, k, k, len(s), bytearray(ngram_join.bitmap(s).tobytes())) for k, s in enumerate(sets)]
-    df = spark.createDataFrame(members, "key long, id long, component long, n long, bits binary")
+    members = [(7, 40, k, k, len(s), bytearray(ngram_join.bitmap(s).tobytes())) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(members, "key long, members long, id long, component long, n long, bits binary")
     found = {tuple(sorted(r)) for r in ngram_join.tree_pairs(df, 85).collect()}
     for a in range(40):
         for b in range(a + 1, 40):
