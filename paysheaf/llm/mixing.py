@@ -89,9 +89,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     bits = bin_bits(n, TIME_BITS_ROWS)
     items = items.withColumn("bin", F.floor(F.col("finish") * (1 << bits)).cast("long"))
     served = running_before(items, [], "bin", [F.col("finish"), F.col("s"), F.col("copy"), F.col("row")], "words", "position")
-    total = F.broadcast(targets.agg(F.sum("source_size").alias("budget")))
-    served = served.join(total, F.col("position") < F.col("budget"))
-    words = F.least(F.col("words"), F.col("budget") - F.col("position"))
+    budget = F.lit(targets.agg(F.sum("source_size")).first()[0] or 0)
+    words = F.least(F.col("words"), budget - F.col("position"))
     return docs_out, served.select("row", "copy", words.alias("words"), "finish", "position").filter("words > 0")
 
 
