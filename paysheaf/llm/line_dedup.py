@@ -1,33 +1,47 @@
-"""Line deduplication by content-defined line chunks (DataFrame functions only).
+"""Line deduplication by content-defined line chunks, line pairs and long lines (DataFrame functions only).
 
 Every line is hashed, and a hash that rolls over the last two line hashes decides where a chunk of lines
 ends: an insertion shifts the borders near it and no others. Chunks of two lines or more that occur more
 than once in the whole table are removed but for their first occurrence (smallest id, then position);
-occurrences are grouped by the chunk's bytes, so that equal hashes of different lines remove nothing.
+occurrences are grouped by the SHA-256 of the chunk's bytes, so that equal hashes remove nothing.
+
+Chunks miss the lines between a passage's border and the next cut, so ``passages`` also takes every pair of
+adjacent lines and every line of ``LONG_LINE`` words or more, whatever stands around them. Units whose
+64-bit hash occurs once end at a count of hashes. A line goes if a unit that is not the first of its kind
+covers it; the same line then stands earlier in the table, and the earliest one always stays.
 
 Defined results: a null text stays null and has no lines; an empty text is one empty line; a null id
 comes after all ids when the first occurrence is chosen; rows that repeat both id and text are one
-document and lose the same chunks; extra columns of the input are ignored; an empty table is fine.
+document and lose the same lines; empty lines are lines like others; extra columns of the input are
+ignored; an empty table is fine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import WORD, small, stored
 
 #: One line in so many ends a chunk.
 LINES_PER_CHUNK = 3
 
-#: Positions of removed chunks that may be broadcast (about 100 bytes each).
-BROADCAST_POSITIONS = 300_000
+#: Words of a line that is a passage by itself.
+LONG_LINE = 50
 
+#: First places of repeated units that may be broadcast (about 150 bytes each).
+BROADCAST_FIRST = 200_000
 
-def line_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, sha, n_lines, chunks (array of chunk, lines): the chunks joined by line ends are the text."""
+
+def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, sha, lines."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    d = d.select("id", F.coalesce(F.sha2("text", 256), F.lit("")).alias("sha"), F.split("text", "\n", -1).alias("lines"))
+    return d.select("id", F.coalesce(F.sha2("text", 256), F.lit("")).alias("sha"), F.split("text", "\n", -1).alias("lines"))
+
+
+def line_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, sha, n_lines, chunks (array of chunk, start, lines): the chunks joined by line ends are the text."""
+    d = text_lines(docs, id_col, text_col)
     d = d.withColumn("marks", F.transform("lines", lambda x: F.xxhash64(x)))
     n = F.size("lines")
     rolled = lambda i: F.xxhash64(F.get("marks", i - 1), F.get("marks", i - 2))
@@ -35,47 +49,55 @@ def line_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: (i == n) | (F.pmod(rolled(i), F.lit(LINES_PER_CHUNK)) == 0))))
     start = lambda k: F.coalesce(F.get("ends", k - 1), F.lit(0))
     return d.select("id", "sha", F.greatest(n, F.lit(0)).alias("n_lines"), F.transform("ends", lambda e, k: F.struct(
-        F.array_join(F.slice("lines", start(k) + 1, e - start(k)), "\n").alias("chunk"), (e - start(k)).alias("lines"))).alias("chunks"))
+        F.array_join(F.slice("lines", start(k) + 1, e - start(k)), "\n").alias("chunk"), start(k).alias("start"), (e - start(k)).alias("lines"))).alias("chunks"))
 
 
 def _hash(chunk: Column, bits: int) -> Column:
     return F.xxhash64(chunk) if bits >= 64 else F.shiftrightunsigned(F.xxhash64(chunk), 64 - bits)
 
 
-def repeated_positions(cut: DataFrame, hash_bits: int = 64) -> DataFrame:
-    """id, sha, pos: the occurrences of repeated multi-line chunks other than the first."""
-    # posexplode_outer: posexplode would push the whole chunking into an inferred filter.
-    every = cut.select("id", "sha", F.posexplode_outer("chunks").alias("pos", "c")).filter("c.lines > 1")
-    every = every.select("id", "sha", "pos", _hash(F.col("c.chunk"), hash_bits).alias("h"), F.col("c.chunk").alias("chunk"))
-    by_bytes = every.groupBy("h", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    # The bytes have been compared; of each distinct chunk only hash, count and digest go on.
-    kinds = stored(by_bytes.select("h", "n", F.sha2("chunk", 256).alias("digest")), "kinds")
-    per_hash = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("texts"), F.max("n").alias("n")).filter("n > 1")
-    per_hash = stored(per_hash.select("h", (F.col("texts") > 1).alias("clash")), "repeated")
-    places = every.select("id", "sha", "pos", "h").join(per_hash.filter("not clash").select("h"), "h").withColumn("k", F.lit(0))
-    clashing = per_hash.filter("clash").select("h")
-    if not clashing.isEmpty():
-        texts = by_bytes.join(clashing, "h", "left_semi").select("h", "chunk", "n", F.row_number().over(
-            Window.partitionBy("h").orderBy("chunk")).alias("k")).filter("n > 1").drop("n")
-        places = places.unionByName(every.join(texts, ["h", "chunk"]).select("id", "sha", "pos", "h", "k"))
+def _order(position: str) -> Column:
+    return F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("sha"), F.col(position))
+
+
+def line_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, sha, start, lines, unit: all pairs of adjacent lines and all long lines."""
+    long = lambda x: (F.length(x) >= 2 * LONG_LINE - 1) & (F.regexp_count(x, F.lit(WORD)) >= LONG_LINE)
+    unit = lambda i, lines, text: F.struct(i.alias("start"), F.lit(lines).alias("lines"), text.alias("unit"))
+    units = F.flatten(F.transform("lines", lambda x, i: F.array(
+        unit(i, 1, F.when(long(x), x)), unit(i, 2, F.concat(x, F.lit("\n"), F.get("lines", i + 1))))))
+    # explode_outer: explode would push the whole expression into an inferred filter. The last line's pair is null.
+    every = text_lines(docs, id_col, text_col).select("id", "sha", F.explode_outer(units).alias("u"))
+    return every.filter("u.unit is not null").select("id", "sha", "u.*")
+
+
+def repeated_places(every: DataFrame, hash_bits: int = 64) -> DataFrame:
+    """id, sha, start, lines: the occurrences of repeated units other than the first."""
+    every = every.withColumn("h", _hash(F.col("unit"), hash_bits))
+    seen = stored(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "seen")
+    places = every.withColumn("digest", F.unhex(F.sha2("unit", 256))).drop("unit").join(small(seen), "h").drop("h")
     places = stored(places, "places")
-    order = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("sha"), F.col("pos"))
-    first = stored(places.groupBy("h", "k").agg(F.min(order).alias("first")), "first")
-    return places.join(first, ["h", "k"]).filter(order != F.col("first")).select("id", "sha", "pos")
-
-
-def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64) -> DataFrame:
-    """One row per row of ``docs``: id, n_lines, removed_lines, clean_text."""
-    cut = line_chunks(docs, id_col, text_col)
-    gone = repeated_positions(cut, hash_bits).groupBy("id", "sha").agg(F.collect_set("pos").alias("gone"))
-    gone = stored(gone, "gone")
-    total = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("rows")).first()
-    gone = F.broadcast(gone) if total["n"] <= BROADCAST_POSITIONS else gone
-    gone = gone.alias("g")
-    out = cut.alias("c").join(gone, (F.col("c.sha") == F.col("g.sha")) & F.col("c.id").eqNullSafe(F.col("g.id")), "left")
-    out = out.select("c.id", "c.n_lines", "c.chunks", F.coalesce("g.gone", F.array().cast("array<int>")).alias("gone"))
-    kept = F.filter("chunks", lambda c, k: ~F.array_contains("gone", k))
-    out = out.select("id", "n_lines", F.col("chunks").isNull().alias("none"), kept.alias("kept"))
-    left = F.aggregate("kept", F.lit(0), lambda a, c: a + c["lines"])
-    return out.select("id", "n_lines", F.when(F.col("none"), 0).otherwise(F.col("n_lines") - left).cast("int").alias("removed_lines"),
-                      F.array_join(F.transform("kept", lambda c: c["chunk"]), "\n").alias("clean_text"))
+    first = places.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(_order("start")).alias("first")).filter("n > 1").drop("n")
+    first = small(stored(first, "first"), BROADCAST_FIRST)
+    return places.join(first, "digest").filter(_order("start") != F.col("first")).select("id", "sha", "start", "lines")
+
+
+def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64,
+                      passages: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, n_lines, removed_lines, clean_text; by chunks, with ``passages`` by all units."""
+    # posexplode_outer: as in line_units.
+    every = line_chunks(docs, id_col, text_col).select("id", "sha", F.posexplode_outer("chunks").alias("pos", "c")).filter("c.lines > 1")
+    every = every.select("id", "sha", "c.start", "c.lines", F.col("c.chunk").alias("unit"))
+    if passages:
+        every = every.unionByName(line_units(docs, id_col, text_col))
+    gone = repeated_places(every, hash_bits).select("id", "sha", F.explode(F.sequence("start", F.col("start") + F.col("lines") - 1)).alias("line"))
+    gone = stored(gone.groupBy("id", "sha").agg(F.collect_set("line").alias("gone")), "gone")
+    # The same join at every size: lists of lines grow with the table.
+    c, g = text_lines(docs, id_col, text_col).alias("c"), gone.hint("merge").alias("g")
+    out = c.join(g, (F.col("c.sha") == F.col("g.sha")) & F.col("c.id").eqNullSafe(F.col("g.id")), "left")
+    out = out.select("c.id", "c.lines", F.greatest(F.size("c.lines"), F.lit(0)).alias("n_lines"),
+                     F.coalesce("g.gone", F.array().cast("array<int>")).alias("gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), "gone")
+    out = out.withColumn("left", F.when(F.col("n_lines") > 0, left))
+    return out.select("id", "n_lines", F.when(F.col("n_lines") > 0, F.col("n_lines") - F.size("left")).otherwise(0).cast("int").alias("removed_lines"),
+                      F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n").alias("clean_text"))

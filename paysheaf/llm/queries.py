@@ -50,7 +50,7 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
+    out = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"), passages=True)
     return out.select(F.col("id").alias("doc_id"), "n_lines", "removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"),
                       F.length("clean_text").cast("long").alias("clean_chars"))
 

@@ -1,6 +1,7 @@
 """Exact dedup, line dedup and the n-gram Jaccard join against brute force."""
 
 import hashlib
+import random
 import re
 import string
 
@@ -88,6 +89,48 @@ def test_repeated_line_chunks_go_but_for_the_first(spark, bits):
     assert all(by[k].removed_lines > 15 for k in (1, 2, 3, 4))
 
 
+def lines_left(docs):
+    """Brute force: what stays of each id when repeated pairs of lines and long lines go but for the first."""
+    places, out = {}, {}
+    for i in sorted(docs):
+        x = docs[i].split("\n")
+        for k, line in enumerate(x):
+            if len(line.split(" ")) >= 50:
+                places.setdefault(line, []).append((i, k))
+            if k + 1 < len(x):
+                places.setdefault((line, x[k + 1]), []).append((i, k))
+    gone = {(i, k + j) for unit, at in places.items() for i, k in at[1:] for j in range(2 if isinstance(unit, tuple) else 1)}
+    for i, text in docs.items():
+        out[i] = [line for k, line in enumerate(text.split("\n")) if (i, k) not in gone]
+    return out
+
+
+@pytest.mark.parametrize("bits", [64, 3])
+def test_passages_of_one_to_eight_lines_go_but_for_the_first(spark, bits):
+    rng = random.Random(9)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    docs, planted = {}, {}
+    for lines in range(1, 9):
+        for k in range(6):
+            passage = [line(60 if lines == 1 else 30) for _ in range(lines)]
+            for copy in range(3):
+                i = copy * 1000 + lines * 100 + k
+                head, tail = ([line(12) for _ in range(rng.randrange(4))] for _ in range(2))
+                docs[i], planted[i] = "\n".join(head + passage + tail), passage
+    docs |= {4000: line(49), 4001: "a\nb\nc", 4002: "x\nb\nd", 4003: "", 4004: "one", 4005: "one", 4006: "r\nr\nr\nr", 4008: "\n\n"}
+    docs |= {4007: docs[4000], 4009: "ab\nc", 4010: "a\nbc"}
+    df = spark.createDataFrame([*docs.items(), (5000, None)], "doc_id long, text string").repartition(3)
+    got = {r.id: r for r in line_dedup.deduplicate_lines(df, hash_bits=bits, passages=True).collect()}
+    assert got[5000].clean_text is None and got[5000].n_lines == got[5000].removed_lines == 0
+    left = lines_left(docs)
+    for i, text in docs.items():
+        assert got[i].clean_text == "\n".join(left[i]), i
+        assert got[i].removed_lines == text.count("\n") + 1 - len(left[i])
+    for i, passage in planted.items():
+        kept = sum(x in passage for x in got[i].clean_text.split("\n"))
+        assert kept == (len(passage) if i < 1000 else 0), i
+
+
 def brute(rows, size, percent):
     sets = {}
     for k, r in enumerate(rows):
