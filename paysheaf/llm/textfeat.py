@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,13 @@ BLOCK = 1 << 20
 FEATURES = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("features", T.ArrayType(T.IntegerType()))])
 
 
-def _ngrams(c: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
+@lru_cache(maxsize=1)
+def _word_characters() -> np.ndarray:
+    """By code point: letter or digit."""
+    return np.array([chr(k).isalnum() for k in range(0x110000)])
+
+
+def _ngrams(c: np.ndarray, sizes: tuple[int, ...], bits: int, gaps: np.ndarray | None = None) -> np.ndarray:
     out = [np.empty(0, np.int32)]
     for n in sizes:
         if len(c) >= n:
@@ -26,16 +33,27 @@ def _ngrams(c: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
             for k in range(n):
                 h = (h ^ c[k:len(c) - n + 1 + k]) * MIX
                 h ^= h >> np.uint64(32)
+            if gaps is not None:
+                inside = np.zeros(len(h), bool)
+                for k in range(1, n - 1):
+                    inside |= gaps[k:len(c) - n + 1 + k]
+                h = h[~inside]
             out.append((h >> np.uint64(64 - bits)).astype(np.int32))
     return np.unique(np.concatenate(out))
 
 
-def char_ngrams(text: str | None, sizes: tuple[int, ...], bits: int, lower: bool = True) -> np.ndarray:
-    """Sorted distinct buckets of the character n-grams of the whole text, with a blank before and after it."""
+def char_ngrams(text: str | None, sizes: tuple[int, ...], bits: int, lower: bool = True, words: bool = False) -> np.ndarray:
+    """Sorted distinct buckets of the character n-grams of the whole text, with a blank before and after it.
+
+    With ``words``, all but letters and digits counts as a blank, and an n-gram has blanks at its ends only.
+    """
     t = f" {text or ''} "
     c = np.frombuffer((t.lower() if lower else t).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    gaps = ~_word_characters()[c] if words else None
+    c = np.where(gaps, np.uint32(32), c) if words else c
     step, overlap = BLOCK, max(sizes) - 1
-    blocks = [_ngrams(c[lo:lo + step + overlap].astype(np.uint64), sizes, bits) for lo in range(0, len(c), step)]
+    blocks = [_ngrams(c[lo:lo + step + overlap].astype(np.uint64), sizes, bits, gaps[lo:lo + step + overlap] if words else None)
+              for lo in range(0, len(c), step)]
     return blocks[0] if len(blocks) == 1 else np.unique(np.concatenate(blocks))
 
 

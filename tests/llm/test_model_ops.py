@@ -22,6 +22,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert held[held.toxic == 0].predicted.mean() < 0.01
 
 
+def test_toxicity_finds_most_of_the_held_out_toxic_rows(spark):
+    rows = QUERIES["op1_toxicity"](spark, "/root/testdata/sf0.1").filter("held_out").toPandas()
+    held = rows.merge(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas(), on="doc_id")
+    assert held[held.toxic == 1].predicted.mean() > 0.8
+    assert held[held.toxic == 0].predicted.mean() < 0.01
+
+
+def test_word_ngrams_do_not_cross_words():
+    one = char_ngrams("some, WORDS", (4, 5), 18, words=True)
+    assert (one == char_ngrams("words--some", (4, 5), 18, words=True)).all() and len(char_ngrams(None, (4,), 18, words=True)) == 0
+    assert len(one) == 3 + 2 + 4 + 3
+
+
 def test_classifiers_on_edge_rows(spark, edge, no_docs):
     rows, docs = edge
     labels = spark.createDataFrame([(k, k % 2, None if k == 3 else k % 3 // 2) for k in range(30)] + [(None, 1, 1), (1, None, 1), (1, 1, 0)],
