@@ -4,10 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
 from paysheaf.operators import analytics as A
 from paysheaf.operators import quality as Q
 from paysheaf.sources.fixtures import pay_records
+from paths import SF0001
 
 
 def plan(df) -> str:

@@ -4,10 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
 from paysheaf.sinks import writers as Wr
 from paysheaf.sources import documents as D
 from paysheaf.sources.fixtures import pay_records
+from paths import SF0001
 
 
 def test_csv_cells_and_latin1_fallback(spark, tmpdir_fresh):
