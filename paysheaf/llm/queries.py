@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, toxicity
+from . import bpe, exact_dedup, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, simhash, toxicity
 from .common import table
 
 
@@ -60,7 +60,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup)}
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, bits=3)
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup, op11_simhash)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
