@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, simhash, toxicity
+from . import bpe, exact_dedup, lexical, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, simhash, toxicity
 from .common import table
 
 
@@ -65,7 +65,14 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup, op11_simhash)}
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup, op11_simhash, op12_ranked_search)}
+
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -95,6 +102,19 @@ ORACLE_SQL = {
         SELECT query_id, rank, vec_id, score FROM (
             SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM p) t WHERE rank <= 20""",
+    "op12_ranked_search": f"""
+        WITH d AS (SELECT doc_id, {_TERMS} AS t, row_number() OVER () AS r FROM documents),
+        p AS (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d WHERE len(t) > 0),
+        f AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM p GROUP BY r, term),
+        g AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS words FROM d WHERE len(t) > 0),
+        w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM f, g GROUP BY term),
+        q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) b),
+        s AS (
+            SELECT q.item_id, f.r, f.doc_id, CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // words))))) AS BIGINT) AS score
+            FROM q JOIN f USING (term) JOIN w USING (term), g GROUP BY q.item_id, f.r, f.doc_id)
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+            FROM s WHERE score > 0) t WHERE rank <= 50""",
     "op10_exact_dedup": f"""
         WITH d AS (
             SELECT doc_id, {_LOWER} AS norm FROM documents)
