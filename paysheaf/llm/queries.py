@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lexical, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, simhash, toxicity
+from . import bpe, exact_dedup, lexical, licenses, line_dedup, mixing, mtree, ngram_join, quality, sharding, simhash, toxicity, trie
 from .common import table
 
 
@@ -69,7 +69,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup, op11_simhash, op12_ranked_search)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_source_mix, op4_licences, op5_ngram_jaccard, op6_exact_topk, op7_bpe, op8_shards, op9_line_dedup, op10_exact_dedup, op11_simhash, op12_ranked_search, op13_prefix_trie)}
 
 _TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
@@ -115,6 +119,31 @@ ORACLE_SQL = {
         SELECT item_id, rank, doc_id, score FROM (
             SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
             FROM s WHERE score > 0) t WHERE rank <= 50""",
+    "op13_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+                   {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, list(x ORDER BY pos) AS seq FROM t GROUP BY c),
+        h AS (
+            SELECT c, seq, c - c % 20 AS donor,
+                   xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+                       lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, k: xor(r >> 1, (r & 1) * 3988292384)), 4294967295::BIGINT),
+                       4294967295::BIGINT) % 4 AS h
+            FROM own),
+        r AS (SELECT h.c, coalesce(d.seq, [])[1:h.h] || h.seq[h.h + 1:] AS seq FROM h LEFT JOIN own d ON d.c = h.donor),
+        p AS (SELECT c, d, seq[1:d] AS prefix, d = len(seq) AS ends FROM (SELECT c, seq, unnest(range(0, len(seq) + 1)) AS d FROM r) u),
+        n AS (
+            SELECT prefix, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256,
+                   CASE WHEN any_value(d) = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(any_value(prefix[-1].text), '[^\x20\x09-\x0D]+')) END AS saved
+            FROM p GROUP BY prefix),
+        k AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+        v AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (prefix)),
+        a AS (SELECT unnest(range(0, depth + 1)) AS d, v.prefix, v.n_children, v.saved FROM v),
+        s AS (SELECT prefix[1:d] AS prefix, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY 1)
+        SELECT v.conv_id, v.depth, q.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+        FROM v JOIN s USING (prefix) LEFT JOIN v q ON v.depth > 0 AND q.prefix = v.prefix[1:v.depth - 1]""",
     "op10_exact_dedup": f"""
         WITH d AS (
             SELECT doc_id, {_LOWER} AS norm FROM documents)
