@@ -76,15 +76,15 @@ LINKS = """links AS (
 )"""
 
 
-# Roster pages (one per order): the player row of the roster table and, every fourth
-# page, the repeated player row of a second table.
+# Roster pages (one per order): the player row of the roster table (behind a row that holds a table, on
+# some pages) and, every fourth page, the repeated player row of a later table.
 ROSTER = """roster_src AS (
   SELECT o_orderkey AS page_id, c_custkey, c_name, o_orderpriority, o_orderstatus, c_mktsegment,
          lower(replace(replace(n_name, '_', '-'), ' ', '-')) AS team_slug
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ),
 roster_raw AS (
-  SELECT page_id, 0 AS table_no, 1 AS row_no, c_name AS player_name,
+  SELECT page_id, 0 AS table_no, CASE WHEN page_id % 6 IN (1, 2) THEN 2 ELSE 1 END AS row_no, c_name AS player_name,
     'https://league.example/players/c' || c_custkey || '/' AS player_url,
     '/img/c' || c_custkey || '.png' AS player_image_thumb,
     '#' || CAST(c_custkey % 99 AS VARCHAR) AS jersey_number,
@@ -95,7 +95,7 @@ roster_raw AS (
     team_slug
   FROM roster_src
   UNION ALL
-  SELECT page_id, 1, 1, c_name, 'https://league.example/players/c' || c_custkey || '/', NULL, NULL, 'X',
+  SELECT page_id, CASE WHEN page_id % 6 = 2 THEN 2 ELSE 1 END, 1, c_name, 'https://league.example/players/c' || c_custkey || '/', NULL, NULL, 'X',
     NULL, NULL, NULL, team_slug
   FROM roster_src WHERE page_id % 4 = 0
 )"""

@@ -282,11 +282,11 @@ def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One captured roster page per order: (page_id, team_name, team_slug, html).
 
     The team is the customer's nation. The roster table lists the customer as a player
-    (link, image, name element, jersey, position, categories, status); every third page adds
-    a row without a player link, every fourth a second roster table that repeats the player
+    (link, image, name element, jersey, position, categories, status); pages with a key of 1 or 2
+    modulo 6 have a row before that one with a table inside a cell and '>' in an attribute; every
+    third page adds a row without a player link, every fourth a second roster table that repeats the player
     (first occurrence wins), every fifth a table without a 'player' header."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority",
-                   "o_orderstatus")
+    o = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"))
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     geo = geography(spark, sf_dir)
     d = o.join(c, o.o_custkey == c.c_custkey).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -301,7 +301,9 @@ def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     main = F.concat(
         F.lit('<table class="mls-o-table"><thead><tr><th>Player</th><th>Jersey #</th><th>Position</th>'
               '<th>Roster Category</th><th>Player Category</th><th>Player Status</th></tr></thead><tbody>'),
-        F.lit('<tr><td><a class="mls-o-table__href" href="/players/c'), cid,
+        F.when((k % 6).isin(1, 2), F.lit('<tr><td title="a>b">Staff<table class="tip"><tr><td>Since</td><td>2020</td></tr></table></td>'
+                                         "<td title='c > d'></td></tr>")).otherwise(F.lit("")),
+        F.lit('<tr><td><a class="mls-o-table__href" title="club > player" href="/players/c'), cid,
         F.lit('/"><img src="/img/c'), cid, F.lit('.png"/><span class="short-name"> '),
         F.col("c_name"), F.lit(' </span></a></td><td>#'), (F.col("c_custkey") % 99).cast("string"),
         F.lit("</td><td>"), pos, F.lit("</td><td>"), category, F.lit("</td><td>"), pcat,
@@ -323,7 +325,7 @@ def stats_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One captured stats page per event: (page_id, team_name, team_slug, season,
     stat_type, html). Team = event type, season = event year, stat type cycles through the
     five tables. The stats table keys its columns by CSS class; a totals row with fewer
-    than three cells is mixed in."""
+    than three cells is mixed in, on every fourth page also a row with a table inside a cell."""
     from ..schemas import STAT_TYPES
     e = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props"))
     uid = F.col("user_id").cast("string")
@@ -337,6 +339,7 @@ def stats_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               '<th class="mls-o-table__header stats-type games_played">GP</th>'
               '<th class="mls-o-table__header mls-o-table__header--sorted value">Value</th>'
               '<th class="k">K</th></tr></thead><tbody>'),
+        F.when(F.col("event_id") % 4 == 0, F.lit("<tr><td title='x>y'>Note<table><tr><td>n</td></tr></table></td><td></td></tr>")).otherwise(F.lit("")),
         F.lit('<tr><td class="mls-o-table__cell player"><a href="/players/u'), uid,
         F.lit('/"><img src="/img/u'), uid, F.lit('.png"><span class="mls-o-table__player-name">Player '),
         uid, F.lit('</span></a></td><td class="mls-o-table__cell club">'), F.upper(F.col("event_type")),
@@ -374,11 +377,11 @@ def player_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One captured profile page per customer: (page_id, player_url, html) — masthead with
-    image (alt = name), club logo link, '#<jersey> <position>' info, and detail items
+    image (alt = name), club logo link, '#<jersey> <position>' info (on every fifth page behind an empty
+    image box, an advertisement and the link of a former club), and detail items
     (height, date of birth with an inner tag, position, a blank nickname, a repeated
     height that replaces the first)."""
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
-                   "c_acctbal")
+    c = spread(read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"))
     geo = geography(spark, sf_dir)
     d = c.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     k = F.col("c_custkey")
@@ -389,8 +392,12 @@ def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit('<div class="mls-l-module--player-status-details__info"><h3>'), label,
                         F.lit("</h3><span>"), value, F.lit("</span></div>"))
     html = F.concat(
-        F.lit('<html><body><div class="mls-o-masthead"><div class="mls-o-masthead__branded-image">'
-              '<img src="/big/c'), ks, F.lit('.jpg" alt=" '), F.col("c_name"), F.lit(' "></div>'),
+        F.lit("<html><body>"),
+        F.when(k % 5 == 0, F.lit('<div class="mls-o-masthead__branded-image"></div><div class="ad"><img src="/ad.png" alt="Ad"></div>')).otherwise(F.lit("")),
+        F.lit('<div class="mls-o-masthead">'),
+        F.when(k % 5 == 0, F.lit('<div class="mls-o-masthead__branded-image"></div><a class="mls-o-masthead__club-logo-old" href="/clubs/old/">'
+                                 '<img src="/logo/old.svg"></a>')).otherwise(F.lit("")),
+        F.lit('<div class="mls-o-masthead__branded-image"><img src="/big/c'), ks, F.lit('.jpg" alt=" '), F.col("c_name"), F.lit(' "></div>'),
         F.lit('<a class="mls-o-masthead__club-logo" href="/clubs/'), slug, F.lit('/"><img src="/logo/'),
         slug, F.lit('.svg"></a><div class="mls-o-masthead__info-wrapper"><span>#'),
         (k % 99).cast("string"), F.lit("</span> <span>"), F.substring("c_mktsegment", 1, 1),

@@ -5,10 +5,11 @@ cell texts and classes, the first player link with its name element and image.
 Everything after that (which tables count, header -> field mapping, key prefixes,
 cleaning) is column expressions in ``operators/rosters.py`` and ``operators/stats.py``.
 
-Everything runs in the JVM: comments and scripts are dropped first, then tables, rows and
-cells are pulled out with ``regexp_extract_all`` and exploded with their positions. Cells and
-rows need no closing tags, attributes may be quoted in any way, entities are decoded, classes
-are compared as tokens. A table inside a cell is read as part of the outer table's markup.
+Everything runs in the JVM: the page is cleaned once (``functions/html.py``), tables are cut by
+depth, then rows and cells are pulled out with ``regexp_extract_all`` and exploded with their
+positions. Cells and rows need no closing tags, attributes may be quoted in any way and hold '>',
+classes are compared as tokens. A table inside a cell is a table of its own, with the next number;
+to the outer table its rows and cells are no rows and cells, only text and links of the cell.
 """
 
 from __future__ import annotations
@@ -16,11 +17,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import attr, decode_entities, has_class, visible
+from ..functions.html import attr, attr_start, attr_values, bound, cell_texts, class_start, clean, get_text, nested, with_class
 
 # Classes that mark the player-name element inside a player link (fixed values).
 NAME_CLASSES = ("short-name", "mls-o-table__player-name")
 
+# Between rows: where a row starts, and the tags that end one. Cells end with what ends rows, too.
+_BETWEEN_ROWS = r"(?i)(?=<tr\b)|</(?:tr|tbody|thead|table)\b[^>]*>|(?=<tbody\b)"
+_ENDS = "tr|thead|tbody|tfoot|table"
+_LINK = r"[^>]*)>(.*?)(?=</a\b|<a\b|\z)"
+_STRUCTURE = r"(?i)</?(?:table|caption|colgroup|col|thead|tbody|tfoot|tr|td|th)\b[^>]*>"
+
+
+def tables(html: Column) -> Column:
+    """array<string>: the markup of every table, in order of their start; of the tables inside it only
+    what is not table markup stays."""
+    def own(ps: Column, ds: Column, i: Column) -> Column:
+        depth = F.get(ds, i)
+        closes = F.coalesce(F.array_min(F.transform(ds, lambda d, j: F.when((j > i) & (d < depth), j))), F.size(ds))
+        return F.array_join(F.transform(F.sequence(i, closes - 1), lambda j: F.when(j == i, F.get(ps, j))
+                            .when(F.get(ds, j) == depth, F.regexp_replace(F.get(ps, j), r"^</[^>]*>", "<i>"))
+                            .otherwise(F.regexp_replace(F.get(ps, j), _STRUCTURE, "<i>"))), "")
+
+    def all_of(ps: Column, ds: Column) -> Column:
+        opened = F.transform(ps, lambda p, i: F.when(F.regexp_like(p, F.lit(r"(?i)^<table\b")), i))
+        return F.transform(F.filter(opened, lambda i: i.isNotNull()), lambda i: own(ps, ds, i))
+
+    return nested(html, "table", all_of)
+
+
+def _player_link(row: Column, link: str) -> tuple[Column, Column]:
+    """Attributes ('' when there is none) and inner HTML of the first player link of a row."""
+    start = attr_start("href", "/players/")
+    if link == "any":
+        start = rf"(?:{start}|{class_start('mls-o-table__href')})"
+    pat = rf"(?is)<a\b((?={start}){_LINK}"
+    return F.regexp_extract(row, pat, 1), F.regexp_extract(row, pat, 2)
+
+
+def _simple_name(inner: Column, names: str) -> Column:
+    """Inner HTML of the first element with a name class, up to the first end tag of its kind ('' without one)."""
+    return F.regexp_extract(inner, rf"(?is)<([a-z][a-z0-9]*)\b{class_start(names)}[^>]*>(.*?)</\1\s*>", 2)
+
+
+def _name_text(inner: Column, simple: Column, names: str) -> Column:
+    """Text of the first element of a link that has a name class (NULL when there is none)."""
+    # Text alone up to the end tag is the whole element. Markup inside, or no end tag, is followed by depth.
+    plain = (simple != "") & (F.instr(simple, "<") == 0)
+    exact = F.when(F.regexp_like(inner, F.lit(names)), get_text(F.get(with_class(inner, names), 0)))
+    return F.when(plain, get_text(simple)).otherwise(exact)
+
 
 def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
                keep: tuple[str, ...] = (), link: str = "any") -> DataFrame:
@@ -30,91 +76,35 @@ def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
     carried along, so no join back to the pages is needed. ``link`` tells which anchor of a row is
     its player link: "any" the first with a player address or the table-link class, "players" the
     first with a player address."""
-    return _table_rows(pages, key, html, keep, link)
-
-
-# --- JVM engine ------------------------------------------------------------------------------
-
-_TABLE = r"(?is)<table\b[^>]*>.*?(?:</table>|\z)"
-# Rows and cells also end where the next one begins or what holds them ends.
-_TR = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|<tbody\b|</tbody\b|</thead\b|</table\b|\z)"
-_TH = r"(?is)<th\b(?!ead)([^>]*)>(.*?)(?=</?th\b|<td\b|</tr\b|<tr\b|</thead\b|<tbody\b|</table\b|\z)"
-_TD = r"(?is)<td\b([^>]*)>(.*?)(?=</?td\b|<th\b|</tr\b|<tr\b|</tbody\b|</table\b|\z)"
-_A = r"(?is)<a\b([^>]*)>(.*?)(?=</a\b|<a\b|\z)"
-_attr = attr
-_decode = decode_entities
-
-
-def _class_of(tag: str) -> str:
-    """Pattern whose group 1 is the class attribute of every ``tag`` element ('' when the
-    element has none), one match per element, in order."""
-    return (r"(?is)<" + tag + r"""\b(?:[^>]*?\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'))?[^>]*>""")
-
-
-def _classes(html: Column, tag: str) -> Column:
-    """Class attribute of every ``tag`` element ('' when absent), double or single quoted."""
-    pat = F.lit(_class_of(tag))
-    return F.zip_with(F.regexp_extract_all(html, pat, 1), F.regexp_extract_all(html, pat, 2),
-                      lambda a, b: F.concat(a, b))
-
-
-def get_text(inner: Column) -> Column:
-    """Text of an element: every text piece between tags decoded and stripped, blanks
-    dropped, the rest joined without separator."""
-    from ..functions.text import strip
-    pieces = F.transform(F.split(inner, r"<[^>]*>"), lambda p: strip(_decode(p)))
-    full = F.array_join(F.filter(pieces, lambda p: p != ""), "")
-    # Plain text (no tag, no entity) is one piece: a strip is the whole answer.
-    return F.when(F.instr(inner, "<") + F.instr(inner, "&") == 0, strip(inner)).otherwise(full)
-
-
-def _name_text(link_inner: Column) -> Column:
-    """Text of the first element inside the link that has a name class as a class token."""
-    tagged = F.regexp_extract_all(link_inner, F.lit(r"(?is)<(\w+)\b([^>]*)>(?=(.*?)</\1>)"), 0)
-    inner = F.regexp_extract_all(link_inner, F.lit(r"(?is)<(\w+)\b([^>]*)>(?=(.*?)</\1>)"), 3)
-    named = F.filter(F.arrays_zip(tagged.alias("tag"), inner.alias("inner")), lambda x: (
-        has_class(F.regexp_extract(x["tag"], r"(?is)^<\w+\b(.*)>$", 1), NAME_CLASSES[0])
-        | has_class(F.regexp_extract(x["tag"], r"(?is)^<\w+\b(.*)>$", 1), NAME_CLASSES[1])))
-    return get_text(F.get(named, 0)["inner"])
-
-
-def _table_rows(pages: DataFrame, key: str, html: str, keep: tuple[str, ...], link: str) -> DataFrame:
-    src = pages.select(pages[key].cast("long").alias("page_id"), visible(pages[html]).alias("html"),
-                       *[pages[k] for k in keep])
-    t = src.select("page_id", *keep,
-                   F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(_TABLE), 0)).alias("table_no", "t"))
-    head = F.regexp_extract(F.col("t"), r"(?is)^<table\b([^>]*)>", 1)
-    before_tbody = F.regexp_extract(F.col("t"), r"(?is)^(.*?)<tbody\b", 1)
-    tbody = F.regexp_extract(F.col("t"), r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
-    t = t.select(
-        "page_id", *keep, "table_no",
-        F.coalesce(_attr(head, "class"), F.lit("")).alias("table_class"),
-        F.regexp_like(F.col("t"), F.lit(r"(?is)<tbody\b")).alias("has_tbody"),
-        F.size(F.regexp_extract_all(before_tbody, F.lit(_TR), 1)).alias("_n_before"),
-        F.size(F.regexp_extract_all(tbody, F.lit(_TR), 1)).alias("_n_body"),
-        F.transform(F.regexp_extract_all(F.col("t"), F.lit(_TH), 2), get_text).alias("headers"),
-        _classes(F.col("t"), "th").alias("header_classes"),
-        F.posexplode(F.regexp_extract_all(F.col("t"), F.lit(_TR), 1)).alias("row_no", "r"))
-    anchors = F.arrays_zip(F.regexp_extract_all(F.col("r"), F.lit(_A), 1).alias("a"),
-                           F.regexp_extract_all(F.col("r"), F.lit(_A), 2).alias("inner"))
-    listed = (lambda a: has_class(a, "mls-o-table__href")) if link == "any" else (lambda a: F.lit(False))
-    player = F.filter(anchors, lambda x: F.coalesce(_attr(x["a"], "href").contains("/players/"), F.lit(False)) | listed(x["a"]))
-    t = t.withColumns({
-        "cells": F.transform(F.regexp_extract_all(F.col("r"), F.lit(_TD), 2), get_text),
-        "cell_classes": _classes(F.col("r"), "td"),
-        "_link": F.get(player, 0),
-    })
-    link_inner = F.col("_link.inner")
-    out = t.filter(F.size("cells") > 0).select(
-        "page_id", "table_no", "table_class", "has_tbody", F.col("row_no").cast("int").alias("row_no"),
-        ((F.col("row_no") >= F.col("_n_before")) & (F.col("row_no") < F.col("_n_before") + F.col("_n_body")))
-        .alias("in_tbody"),
-        "headers", "header_classes", "cells", "cell_classes",
-        _attr(F.col("_link.a"), "href").alias("link_href"),
-        F.when(F.col("_link").isNotNull(), _attr(F.col("_link.a"), "class")).alias("link_class"),
-        F.when(F.col("_link").isNotNull(), get_text(link_inner)).alias("link_text"),
-        _name_text(link_inner).alias("name_text"),
-        F.nullif(_attr(F.regexp_extract(link_inner, r"(?is)<img\b([^>]*)>", 1), "src"), F.lit("")).alias("thumb"),
+    page = [pages[key].cast("long").alias("page_id"), *[pages[k] for k in keep]]
+    src = bound(pages, page, _html=clean(pages[html]))
+    carried = ["page_id", *keep]
+    t = src.select(*carried, F.posexplode(tables(F.col("_html"))).alias("table_no", "_t"))
+
+    # One generator for each level: tables, rows, links. What a level computes is there once for the next.
+    markup = F.col("_t")
+    body = F.substr(markup, F.greatest(F.instr(F.lower(markup), "<tbody"), F.lit(1)))
+    t = bound(t, [*carried, "table_no"],
+              table_class=F.coalesce(attr(F.regexp_extract(markup, r"(?is)^<table\b([^>]*)>", 1), "class"), F.lit("")),
+              has_tbody=F.instr(F.lower(markup), "<tbody") > 0,
+              _all=F.regexp_count(markup, F.lit(r"(?i)<tr\b")), _from=F.regexp_count(body, F.lit(r"(?i)<tr\b")),
+              _past=F.regexp_count(F.regexp_extract(body, r"(?is)</tbody\b(.*)$", 1), F.lit(r"(?i)<tr\b")),
+              headers=cell_texts(markup, "th", "td|" + _ENDS), header_classes=attr_values(markup, "th", "class"),
+              _rows=F.filter(F.split(markup, _BETWEEN_ROWS), lambda x: F.regexp_like(x, F.lit(r"(?i)^<tr\b"))))
+    facts = [*carried, "table_no", "table_class", "has_tbody", "headers", "header_classes"]
+    r = t.select(*facts, "_all", "_from", "_past", F.posexplode("_rows").alias("row_no", "_r"))
+    inside = F.col("has_tbody") & (F.col("row_no") >= F.col("_all") - F.col("_from")) & (F.col("row_no") < F.col("_all") - F.col("_past"))
+    attrs, inner = _player_link(F.col("_r"), link)
+    r = bound(r.filter(F.regexp_like("_r", F.lit(r"(?i)<td\b"))), [*facts, "row_no"], in_tbody=inside,
+              cells=cell_texts(F.col("_r"), "td", "th|" + _ENDS), cell_classes=attr_values(F.col("_r"), "td", "class"), _attrs=attrs, _inner=inner)
+    attrs, inner = F.col("_attrs"), F.when(F.col("_attrs") != "", F.col("_inner"))
+    names = "|".join(NAME_CLASSES)
+    r = bound(r, [*facts, "row_no", "in_tbody", "cells", "cell_classes", "_attrs", "_inner"], _name=_simple_name(inner, names))
+    out = r.select(
+        "page_id", F.col("table_no").cast("int").alias("table_no"), "table_class", "has_tbody", F.col("row_no").cast("int").alias("row_no"),
+        "in_tbody", "headers", "header_classes", "cells", "cell_classes",
+        attr(attrs, "href").alias("link_href"), attr(attrs, "class").alias("link_class"),
+        get_text(inner).alias("link_text"), _name_text(inner, F.col("_name"), names).alias("name_text"),
+        F.nullif(attr(F.regexp_extract(inner, r"(?is)<img\b([^>]*)>", 1), "src"), F.lit("")).alias("thumb"),
         *keep)
-    out = out.withColumn("table_no", F.col("table_no").cast("int"))
     return out if key == "page_id" else out.withColumnRenamed("page_id", key)

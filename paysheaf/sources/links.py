@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import IN_TAG, anchors, attr, elements, has_class, visible
+from ..functions.html import anchors, attr, bound, clean, elements, has_class, let
 from ..functions.text import collapse_ws, strip
 
 # --- fixed values -------------------------------------------------------------------------
@@ -42,7 +42,7 @@ def detect_format(url: Column) -> Column:
 
 def guide_block(html: Column) -> Column:
     """Inner HTML of the first salary-guide <div> (NULL when the page has none)."""
-    return F.get(elements(visible(html), "div", GUIDE_CLASS), 0)
+    return F.get(elements(clean(html), "div", GUIDE_CLASS), 0)
 
 
 def _guide_anchors(html: Column) -> Column:
@@ -55,11 +55,11 @@ def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     ``text`` is the anchor text without tags, whitespace-collapsed; ``year`` comes from the
     text, else from the address; ``format`` from the address. Links without year or format
     are kept here (NULL) — ``guide_sources`` drops them."""
-    ex = pages.select(key, F.posexplode(_guide_anchors(F.col(html))).alias("pos", "a"))
-    text = collapse_ws(F.col("a.text"))
-    href = strip(F.col("a.href"))
-    return ex.select(key, "pos", href.alias("href"), text.alias("text"),
-                     extract_year(text, href).alias("year"), detect_format(href).alias("format"))
+    block = bound(pages, [key], _guide=F.coalesce(guide_block(F.col(html)), F.lit("")))
+    ex = block.select(key, F.posexplode(anchors(F.col("_guide"))).alias("pos", "a"))
+    ex = bound(ex, [key, "pos"], href=strip(F.col("a.href")), text=collapse_ws(F.col("a.text")))
+    return ex.select(key, "pos", "href", "text", extract_year(F.col("text"), F.col("href")).alias("year"),
+                     detect_format(F.col("href")).alias("format"))
 
 
 def guide_sources(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -88,7 +88,7 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
     first_key, first_pos) — one row per slug, the first occurrence decides its rank.
 
     The display name is the slug with '-' as spaces in title case."""
-    found = F.transform(anchors(visible(F.col(html))), lambda a: a["href"])
+    found = F.transform(anchors(clean(F.col(html))), lambda a: a["href"])
     hrefs = pages.select(key, F.posexplode(found).alias("pos", "href"))
     slug = F.regexp_extract("href", r"/clubs/([^/]+)/" + kind, 1)
     found = hrefs.select(key, "pos", slug.alias("slug")).filter(F.col("slug") != "")
@@ -104,11 +104,10 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
 def season_list(html: Column) -> Column:
     """Integer option values of the first season drop-down that is not the mobile copy, NULL
     where a value is no integer."""
-    sel = rf"(?is)<select\b({IN_TAG})>(.*?)(?=</select\b|<select\b|\z)"
-    selects = F.arrays_zip(F.regexp_extract_all(visible(html), F.lit(sel), 1).alias("attrs"),
-                           F.regexp_extract_all(visible(html), F.lit(sel), 2).alias("body"))
+    sel = F.lit(r"(?is)<select\b([^>]*)>(.*?)(?=</select\b|<select\b|\z)")
+    selects = let(clean(html), lambda h: F.arrays_zip(F.regexp_extract_all(h, sel, 1).alias("attrs"), F.regexp_extract_all(h, sel, 2).alias("body")))
     desktop = F.filter(selects, lambda s: has_class(s["attrs"], SEASON_SELECT_CLASS) & ~has_class(s["attrs"], MOBILE_CLASS))
-    options = F.regexp_extract_all(F.get(desktop, 0)["body"], F.lit(rf"(?is)<option\b({IN_TAG})>"), 1)
+    options = F.regexp_extract_all(F.get(desktop, 0)["body"], F.lit(r"(?is)<option\b([^>]*)>"), 1)
     values = F.filter(F.transform(options, lambda o: attr(o, "value")), lambda v: v.isNotNull())
     return F.transform(values, lambda v: F.when(strip(v).rlike(r"^[+-]?[0-9]+$"), strip(v).try_cast("int")))
 

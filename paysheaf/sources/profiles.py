@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import elements, visible
+from ..functions.html import attr, bound, clean, first_element, get_text, unescape, with_class
 from ..functions.text import normalize_key, strip
-from .html_tables import _attr, _decode, get_text
 
 # --- fixed values: page classes ------------------------------------------------------------
+MASTHEAD_CLASS = "mls-o-masthead"
+DETAILS_CLASS = "mls-l-module--player-status-details"
 DETAIL_ITEM_CLASS = "mls-l-module--player-status-details__info"
 BRANDED_IMAGE_CLASS = "mls-o-masthead__branded-image"
 CLUB_LOGO_CLASS = "mls-o-masthead__club-logo"
@@ -23,50 +24,52 @@ INFO_WRAPPER_CLASS = "mls-o-masthead__info-wrapper"
 # ---------------------------------------------------------------------------------------------
 
 
-def _with_class(tag: str, cls: str) -> str:
-    """Start tag whose class attribute holds ``cls`` as a token."""
-    return r"<" + tag + r"""\b[^>]*\sclass\s*=\s*(?:["'](?:[^"']*\s)?""" + cls + r"""(?:\s[^"']*)?["']|""" + cls + r"""(?=[\s>]))[^>]*>"""
-
-
 def get_text_spaced(inner: Column) -> Column:
     """Text pieces decoded, stripped, blanks dropped, joined with one space."""
-    pieces = F.transform(F.split(inner, r"<[^>]*>"), lambda p: strip(_decode(p)))
+    pieces = F.transform(F.split(inner, r"<[^>]*>"), lambda p: strip(unescape(p)))
     return F.array_join(F.filter(pieces, lambda p: p != ""), " ")
 
 
-def _img_after(html: Column, cls: str) -> Column:
-    """Attribute string of the first <img> after the element with class ``cls``."""
-    pat = r"(?is)" + _with_class(r"\w+", cls) + r".*?<img\b([^>]*)>"
-    return F.when(F.regexp_like(html, F.lit(pat)), F.regexp_extract(html, pat, 1))
+def _image_in(html: Column, cls: str) -> Column:
+    """Attribute string of the first <img> inside an element with class ``cls`` (NULL when there is none)."""
+    inside = F.array_join(with_class(html, cls), "")
+    return F.when(F.regexp_like(inside, F.lit(r"(?i)<img\b")), F.regexp_extract(inside, r"(?is)<img\b([^>]*)>", 1))
 
 
 def profile_facts(pages: DataFrame, key: str = "page_id", html: str = "html",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, profile MAP, player_image, full_name, team_logo, club_slug,
-    jersey_number_profile)."""
-    h = F.col("_html")
-    pages = pages.select(pages[key], *[pages[k] for k in keep], visible(pages[html]).alias("_html"))
-    items = elements(h, "div", DETAIL_ITEM_CLASS)
-    h3 = r"(?is)<h3\b[^>]*>(.*?)</h3>"
-    span = r"(?is)<span\b[^>]*>(.*?)</span>"
-    entries = F.transform(items, lambda it: F.when(
-        F.regexp_like(it, F.lit(h3)) & F.regexp_like(it, F.lit(span)),
-        F.struct(normalize_key(get_text(F.regexp_extract(it, h3, 1))).alias("k"),
-                 get_text_spaced(F.regexp_extract(it, span, 1)).alias("v"))))
-    entries = F.filter(entries, lambda e: e.isNotNull() & (e["k"] != "") & (e["v"] != ""))
+    jersey_number_profile).
+
+    Images, logo, link and info text are looked for inside the first masthead only, each inside an
+    element of its class; the detail items inside the first details section, or on the whole page
+    where it has no such section."""
     from ..operators.stats import last_wins_map
-    img = _img_after(h, BRANDED_IMAGE_CLASS)
-    logo = _img_after(h, CLUB_LOGO_CLASS)
-    logo_link = F.regexp_extract(h, r"(?is)(<a\b[^>]*\bclass\s*=\s*[\"'][^\"']*\b" + CLUB_LOGO_CLASS
-                                 + r"\b[^\"']*[\"'][^>]*>)", 1)
-    info = F.coalesce(F.get(elements(h, "div", INFO_WRAPPER_CLASS), 0), F.lit(""))
+    kept = [key, *keep]
+    h = F.col("_html")
+    pages = bound(pages, kept, _html=clean(pages[html]))
+    pages = bound(pages, kept, _head=F.coalesce(F.get(with_class(h, MASTHEAD_CLASS), 0), F.lit("")),
+                  _details=F.coalesce(F.get(with_class(h, DETAILS_CLASS), 0), h))
+    head = F.col("_head")
+    link = r"(?i)(?=<a\b)"
+    links = F.filter(F.split(head, link), lambda p: F.regexp_like(p, F.lit(r"(?i)^<a\b")) & F.array_contains(
+        F.split(attr(F.regexp_extract(p, r"(?is)^<a\b([^>]*)>", 1), "class"), r"\s+"), CLUB_LOGO_CLASS))
+    pages = bound(pages, kept, _items=F.transform(with_class(F.col("_details"), DETAIL_ITEM_CLASS), lambda it: F.struct(
+                      first_element(it, "h3").alias("label"), first_element(it, "span").alias("value"))),
+                  _img=_image_in(head, BRANDED_IMAGE_CLASS), _logo=_image_in(head, CLUB_LOGO_CLASS),
+                  _link=F.regexp_extract(F.get(links, 0), r"(?is)^<a\b([^>]*)>", 1),
+                  _info=F.coalesce(F.get(with_class(head, INFO_WRAPPER_CLASS), 0), F.lit("")))
+    both = F.filter("_items", lambda e: e["label"].isNotNull() & e["value"].isNotNull())
+    entries = F.transform(both, lambda e: F.struct(normalize_key(get_text(e["label"])).alias("k"), get_text_spaced(e["value"]).alias("v")))
+    pages = bound(pages, [*kept, "_img", "_logo", "_link", "_info"], _entries=F.filter(entries, lambda e: (e["k"] != "") & (e["v"] != "")))
+    img, logo = F.col("_img"), F.col("_logo")
     return pages.select(
-        key, *keep,
-        last_wins_map(entries).alias("profile"),
-        _attr(img, "src").alias("player_image"),
-        F.when(img.isNotNull(), strip(F.coalesce(_attr(img, "alt"), F.lit("")))).alias("full_name"),
-        _attr(logo, "src").alias("team_logo"),
-        F.nullif(F.regexp_extract(F.coalesce(_attr(logo_link, "href"), F.lit("")), r"/clubs/([^/]+)/", 1),
+        *kept,
+        last_wins_map(F.col("_entries")).alias("profile"),
+        attr(img, "src").alias("player_image"),
+        F.when(img.isNotNull(), strip(F.coalesce(attr(img, "alt"), F.lit("")))).alias("full_name"),
+        attr(logo, "src").alias("team_logo"),
+        F.nullif(F.regexp_extract(F.coalesce(attr(F.col("_link"), "href"), F.lit("")), r"/clubs/([^/]+)/", 1),
                  F.lit("")).alias("club_slug"),
-        F.nullif(F.regexp_extract(get_text_spaced(info), r"#(\d+)", 1), F.lit("")).alias("jersey_number_profile"),
+        F.nullif(F.regexp_extract(get_text_spaced(F.col("_info")), r"#(\d+)", 1), F.lit("")).alias("jersey_number_profile"),
     )
