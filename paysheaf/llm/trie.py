@@ -200,7 +200,9 @@ def subtree_totals(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     root = top.first()
     if root is None:
         return nodes.select("conv", "depth", "leaves", "saved")
-    now = nodes.select(F.lit(root.top_conv).alias("top_conv"), F.lit(root.top_depth).alias("top_depth"), "conv", "depth", "parent_conv", "below", "leaves", "saved")
+    # Not as literals: joins on constant keys would be planned as nested loops.
+    first = [F.when(F.col("depth") >= 0, v).alias(k) for k, v in root.asDict().items()]
+    now = nodes.select(*first, "conv", "depth", "parent_conv", "below", "leaves", "saved")
     given, key, level = [], ["top_conv", "top_depth"], 0
     while True:
         parts = now.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("below").alias("total"))
