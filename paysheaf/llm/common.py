@@ -5,6 +5,8 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows with 8-byte keys that may be broadcast: about 50 MB as a hash table with its copy at the driver.
 BROADCAST_KEYS = 400_000
 
+#: Bytes of an Arrow batch sent to Python while a stored frame is computed (rows of any length).
+BATCH_BYTES = 8 << 20
+
 _LOCAL: dict[str, str] = {}
 
 
@@ -37,12 +42,35 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ``BATCH_BYTES`` for the jobs run inside; the session's setting comes back after."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back: the lineage is cut, and lost
     executors cost no recomputation of what stands before."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{tag}.parquet"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored frames that nothing reads any more: every frame computed from them must
+    have been stored itself."""
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def small(df: DataFrame, max_rows: int = BROADCAST_KEYS) -> DataFrame:

@@ -131,9 +131,9 @@ def fitted(rows: DataFrame, fit: Callable[[np.ndarray, list[np.ndarray]], list[n
             column = batch.column("features")
             ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
             features += [flat[a:b].copy() for a, b in zip(ends, ends[1:])]
-        # A fixed order, so that sums of floats come out the same in every run.
-        y_all = np.concatenate([*y, np.empty(0, np.int32)])[:most]
-        order = sorted(range(len(y_all)), key=lambda i: (features[i].tobytes(), y_all[i]))
+        # A fixed order, so that sums of floats, and the rows beyond ``most`` where ids repeat, are the same in every run.
+        y_all = np.concatenate([*y, np.empty(0, np.int32)])
+        order = sorted(range(len(y_all)), key=lambda i: (features[i].tobytes(), y_all[i]))[:most]
         arrays = fit(y_all[order], [features[i] for i in order])
         yield pa.RecordBatch.from_arrays([pa.array([np.asarray(a, np.float64).tobytes() for a in arrays], pa.binary())], names=["weights"])
 

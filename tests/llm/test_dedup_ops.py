@@ -164,6 +164,14 @@ def test_ngram_join_matches_brute_force(edge, no_docs, monkeypatch):
     assert ngram_join.near_duplicates(no_docs).count() == 0
 
 
+def test_one_of_each_group_with_clashing_columns(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text, 1, "a"), (2, text + " more", 2, "b"), (3, "something else", 3, None), (None, text, 4, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, dropped int, component_id string")
+    left = ngram_join.one_of_each_group(docs)
+    assert left.columns == docs.columns and sorted(r.dropped for r in left.collect()) == [1, 3, 4]
+
+
 def test_tree_finds_links_that_stars_miss(spark):
     """Pairs inside buckets whose classes differ from the bucket's first one."""
     rng = np.random.default_rng(3)
