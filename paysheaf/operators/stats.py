@@ -177,10 +177,19 @@ def flatten_stats(records: DataFrame, keys: dict[str, list[str]] | None = None)
 def union_by_type(records: DataFrame) -> DataFrame:
     """Records flattened per stat type, each type with its own columns, unioned by name (missing
     columns NULL). Every stat type that occurs is a part, whatever its name and keys."""
-    keys_of = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.map_keys(c))))).alias(c)
-    found = records.groupBy("stat_type").agg(keys_of("stats"), keys_of("profile")).orderBy("stat_type").collect()
-    parts = [flatten_stats(records.filter(F.col("stat_type").eqNullSafe(F.lit(r["stat_type"]))),
-                           {"stats": r["stats"], "profile": r["profile"]}) for r in found]
+    # Distinct (type, map, key) rows: no task holds the keys of a type, only the driver that names columns after them.
+    def keys_of(c: str) -> Column:
+        named = F.coalesce(c, F.create_map().cast("map<string,string>"))
+        return F.transform(F.map_keys(named), lambda k: F.struct(F.lit(c).alias("map"), k.alias("key")))
+
+    each = F.explode_outer(F.concat(keys_of("stats"), keys_of("profile")))
+    pairs = records.select("stat_type", each.alias("e")).select("stat_type", "e.map", "e.key").distinct()
+    found: dict = {}
+    for r in pairs.orderBy("stat_type", "map", "key").collect():
+        keys = found.setdefault(r["stat_type"], {"stats": [], "profile": []})
+        if r["map"] is not None:
+            keys[r["map"]].append(r["key"])
+    parts = [flatten_stats(records.filter(F.col("stat_type").eqNullSafe(F.lit(t))), keys) for t, keys in found.items()]
     if not parts:
         return flatten_stats(records, {"stats": [], "profile": []})
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

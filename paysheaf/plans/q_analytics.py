@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..sources.tables import read_table
 from ..sources.fixtures import pay_records
 from .catalog import query
 from .oracle_fixtures import PAY, with_
@@ -261,5 +262,6 @@ _PIVOT = ", ".join(f"""CAST(SUM(guaranteed_comp) FILTER (WHERE club = '{c}') AS
 
 @query("spending_pivot", W + f"SELECT year, {_PIVOT} FROM pay WHERE year IS NOT NULL AND club IS NOT NULL GROUP BY year ORDER BY year")
 def spending_pivot(spark, sf):
-    """Year × club table of total guaranteed pay for the clubs of the dimension."""
-    return A.spending_pivot(pay_records(spark, sf), sorted(_CLUBS))
+    """Year × club table of total guaranteed pay for the clubs of the nation table (25 rows, read first)."""
+    clubs = [r[0] for r in read_table(spark, sf, "nation", "n_name").distinct().orderBy("n_name").collect()]
+    return A.spending_pivot(pay_records(spark, sf), clubs)

@@ -138,3 +138,17 @@ def longest_prefix_lookup(spark, sf):
     name_first = F.concat(F.array(F.col("last_name")), toks)
     return p.select("record_id", hit["club"].alias("club"), hit["consumed"].alias("consumed"),
                     club_start(name_first, lookup).alias("club_start"))
+
+
+@query("club_join", with_(PAY) + """
+SELECT record_id, club,
+  CAST(CASE WHEN record_id % 2 = 0 THEN 1 ELSE len(string_split(region, ' ')) + 1 END AS INTEGER) AS consumed
+FROM pay""")
+def club_join(spark, sf):
+    """The same lookup as joins on the dimension, for any number of clubs."""
+    from ..operators.club_join import match_clubs
+    p = pay(spark, sf)
+    club_text = F.when(F.col("record_id") % 2 == 0, F.concat(F.lit("N"), F.col("nk").cast("string"))) \
+        .otherwise(F.concat_ws(" ", "region", "club"))
+    rows = p.select("record_id", line_tokens(F.concat_ws(" ", club_text, F.col("last_name"))).alias("tokens"))
+    return match_clubs(rows, "tokens", club_dim(spark, sf)).select("record_id", "club", "consumed")

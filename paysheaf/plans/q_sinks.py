@@ -55,12 +55,14 @@ UNION ALL SELECT 'overwrite_again', COUNT(*) FROM pay""")
 def sink_overwrite_append(spark, sf):
     """Table at a path — overwrite, append the same rows, overwrite again."""
     recs = pay_records(spark, sf)
-    path = Wr.output_dir(spark, "table")
-    counts = []
-    for step, mode in (("overwrite", "overwrite"), ("append", "append"), ("overwrite_again", "overwrite")):
-        Wr.write_table(recs, path, mode)
-        counts.append((step, spark.read.parquet(path).count()))
-    return spark.createDataFrame(counts, "step string, n bigint")
+    steps, parts = (("overwrite", "overwrite"), ("append", "append"), ("overwrite_again", "overwrite")), []
+    for n, (step, _) in enumerate(steps, 1):
+        # A table of its own for each number of steps, so that all of them can be read in one plan.
+        path = Wr.output_dir(spark, f"table_{step}")
+        for _, mode in steps[:n]:
+            Wr.write_table(recs, path, mode)
+        parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(step).alias("step"), "n"))
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 @query("load_preferred", W + "SELECT " + _REC.format(pos="position") + " FROM pay")
