@@ -131,6 +131,30 @@ def test_passages_of_one_to_eight_lines_go_but_for_the_first(spark, bits):
         assert kept == (len(passage) if i < 1000 else 0), i
 
 
+@pytest.mark.parametrize("bits", [64, 2])
+def test_lines_of_many_overlapping_passages_match_brute_force(spark, bits):
+    rng = random.Random(14)
+    long = " ".join(f"l{k}" for k in range(55))
+    docs = {i: "\n".join(rng.choice(["a", "b", "c", "", long, f"own {i} {k}"]) for k in range(rng.randrange(12))) for i in range(60)}
+    df = spark.createDataFrame([*docs.items(), (7, docs[7]), (7, docs[7])], "doc_id long, text string").repartition(4)
+    left = lines_left(docs)
+    got = line_dedup.deduplicate_lines(df, hash_bits=bits, passages=True).collect()
+    assert len(got) == len(docs) + 2
+    for r in got:
+        assert (r.clean_text, r.n_lines) == ("\n".join(left[r.id]), docs[r.id].count("\n") + 1), r.id
+        assert r.removed_lines == r.n_lines - len(left[r.id])
+
+
+def test_repeated_passages_go_as_whole_chunks(spark, monkeypatch):
+    """Passages between lines of their own are chunks; nothing smaller needs to be compared."""
+    monkeypatch.setattr(line_dedup, "small_units", lambda chunks: chunks.select("id", "sha", "start", "lines", "unit").limit(0))
+    passages = [[f"passage {p} line {k} " + "word " * 60 for k in range(p)] for p in range(1, 9)]
+    docs = {100 * c + p: "\n".join([f"head {c} {p}", *passages[p - 1], f"tail {c} {p}"]) for p in range(1, 9) for c in range(3)}
+    df = spark.createDataFrame([*docs.items()], "doc_id long, text string")
+    for r in line_dedup.deduplicate_lines(df, passages=True).collect():
+        assert r.removed_lines == (0 if r.id < 100 else r.id % 100), r.id
+
+
 def brute(rows, size, percent):
     sets = {}
     for k, r in enumerate(rows):
