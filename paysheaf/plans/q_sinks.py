@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..schemas import SALARY_FIELDS
 from ..sinks import writers as Wr
 from ..session import cut_lineage
+from ..sources.csv_blocks import csv_file_records
 from ..sources.documents import csv_records, read_text_files
 from ..sources.fixtures import link_pages, pay_records
 from ..sources.links import club_links
@@ -104,16 +105,35 @@ def sink_stats_by_team(spark, sf):
     return back.groupBy(F.col("team_slug").cast("string").alias("team_slug")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _customer_records(spark, sf):
+    """c_nationkey, c_custkey and a CSV record per customer: empty first cells, quotes and line ends in cells."""
+    c = read_table(spark, sf, "customer", "c_nationkey", "c_custkey", "c_name", "c_mktsegment")
+    record = F.concat(F.lit(',"'), "c_name", F.lit('\n""'), "c_mktsegment", F.lit('"", é",'), F.col("c_custkey").cast("string"), F.lit(","))
+    return c.select("c_nationkey", "c_custkey", record.alias("value"))
+
+
+@query("csv_block_cells", """
+SELECT c_custkey, CAST(ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS BIGINT) AS row_no, 4 AS n_cells,
+       c_name || chr(10) || '"' || c_mktsegment || '", é' AS second
+FROM customer""")
+def csv_block_cells(spark, sf):
+    """One CSV file per nation, read in blocks; records numbered in the order of their file."""
+    path = Wr.output_dir(spark, "csv_blocks")
+    rows = _customer_records(spark, sf).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    rows.select("c_nationkey", "value").write.partitionBy("c_nationkey").text(path)
+    back = csv_file_records(spark, path, "part-*")
+    return back.select(F.get("cells", F.lit(2)).cast("bigint").alias("c_custkey"), "row_no",
+                       F.size("cells").alias("n_cells"), F.get("cells", F.lit(1)).alias("second"))
+
+
 @query("csv_file_cells", """
 SELECT c_custkey, 4 AS n_cells, '' AS first, c_name || chr(10) || '"' || c_mktsegment || '", é' AS second
 FROM customer""")
 def csv_file_cells(spark, sf):
     """CSV files with empty first cells, doubled quotes and line ends inside cells, decoded per file
     and cut into records and cells."""
-    c = read_table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
     path = Wr.output_dir(spark, "csv_files")
-    record = F.concat(F.lit(',"'), "c_name", F.lit('\n""'), "c_mktsegment", F.lit('"", é",'), F.col("c_custkey").cast("string"), F.lit(","))
-    c.select(record.alias("value")).write.text(path)
+    _customer_records(spark, sf).select("value").write.text(path)
     rows = csv_records(read_text_files(spark, path, "part-*"))
     return rows.select(F.get("cells", F.lit(2)).cast("bigint").alias("c_custkey"), F.size("cells").alias("n_cells"),
                        F.get("cells", F.lit(0)).alias("first"), F.get("cells", F.lit(1)).alias("second"))
