@@ -32,6 +32,15 @@ CLUB_SPELLINGS = """club_spellings AS (
 )"""
 
 
+CLUB_TYPOS = """club_typos AS (
+  SELECT record_id, CASE WHEN record_id % 20 <> 0 THEN club
+                         WHEN record_id % 60 = 0 THEN club[1:place - 1] || club[place + 1:]
+                         WHEN record_id % 60 = 20 THEN club[1:place] || club[place:]
+                         ELSE club[1:place - 1] || 'x' || club[place + 1:] END AS club
+  FROM (SELECT record_id, club, (record_id // 20) % length(club) + 1 AS place FROM pay) t
+)"""
+
+
 DIRTY_STRINGS = """dirty_strings AS (
   SELECT c_custkey AS id,
     CASE c_custkey % 8

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators import similar_clubs
 from ..operators.analytics import MONEY_COLS
 from ..schemas import SALARY_FIELDS
-from ..sources.fixtures import club_spellings, pay_records
+from ..sources.fixtures import club_spellings, club_typos, pay_records
 from .catalog import query
-from .oracle_fixtures import CLUB_SPELLINGS, PAY, with_
+from .oracle_fixtures import CLUB_SPELLINGS, CLUB_TYPOS, PAY, with_
 
 W = with_(PAY)
 STRING_FIELDS = ("club", "last_name", "first_name", "position")
@@ -132,6 +133,29 @@ def dq_club_variants(spark, sf):
     return Q.dq_club_variants(club_spellings(spark, sf))
 
 
+_SIMILAR = f"""
+k AS (SELECT * FROM (SELECT {_FOLD} AS club_key, COUNT(*) AS n FROM club_typos WHERE club IS NOT NULL GROUP BY 1) f WHERE club_key <> ''),
+l AS (SELECT a.club_key AS a, b.club_key AS b, a.n AS n_a, b.n AS n_b FROM k a, k b
+      WHERE a.club_key <> b.club_key AND levenshtein(a.club_key, b.club_key) = 1 AND length(a.club_key) >= 4 AND length(b.club_key) >= 4
+        AND regexp_replace(a.club_key, '[^0-9]', '', 'g') = regexp_replace(b.club_key, '[^0-9]', '', 'g'))"""
+
+
+@query("dq_similar_clubs", with_(PAY, CLUB_TYPOS) + f""", {_SIMILAR}
+SELECT a AS club_key_a, b AS club_key_b, n_a, n_b FROM l WHERE a < b""")
+def dq_similar_clubs(spark, sf):
+    """Folded club names one letter apart, with their records."""
+    return similar_clubs.dq_similar_clubs(club_typos(spark, sf))
+
+
+@query("club_groups", with_(PAY, CLUB_TYPOS).replace("WITH", "WITH RECURSIVE", 1) + f""", {_SIMILAR},
+p AS (SELECT a, first(b ORDER BY n_b DESC, b) AS parent FROM l WHERE n_b > n_a OR (n_b = n_a AND b < a) GROUP BY a),
+r AS (SELECT club_key, n, club_key AS top FROM k UNION ALL SELECT r.club_key, r.n, p.parent FROM r JOIN p ON p.a = r.top)
+SELECT club_key, n, top AS group_key FROM r WHERE top NOT IN (SELECT a FROM p)""")
+def club_groups(spark, sf):
+    """Every folded club name with the name it is counted under."""
+    return similar_clubs.club_groups(club_typos(spark, sf))
+
+
 def _metric(check: str, name: str, expr: str, frm: str = "pay") -> str:
     return f"SELECT '{check}' AS \"check\", '{name}' AS metric, CAST({expr} AS DOUBLE) AS value FROM {frm}"
 

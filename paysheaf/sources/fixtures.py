@@ -87,6 +87,18 @@ def club_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.withColumn("club", club)
 
 
+def club_typos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pay_records`` with a slip in the club of every 20th record: a letter dropped, doubled or replaced, at a
+    place that depends on the record."""
+    recs = pay_records(spark, sf_dir)
+    k, n = F.col("record_id"), F.length("club")
+    at = F.pmod(F.floor(k / 20), n).cast("int") + 1
+    head, tail = F.substring("club", F.lit(1), at - 1), F.substring("club", at + 1, n)
+    letter = F.substring("club", at, F.lit(1))
+    slip = F.when(k % 60 == 0, F.concat(head, tail)).when(k % 60 == 20, F.concat(head, letter, letter, tail)).otherwise(F.concat(head, F.lit("x"), tail))
+    return recs.withColumn("club", F.when(k % 20 == 0, slip).otherwise(F.col("club")))
+
+
 def club_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Club dimension over the given tables: code 'N<nationkey>' -> nation name, and
     full name '<region> <nation>' (lower case) -> nation name."""
