@@ -75,11 +75,39 @@ def not_null(df: DataFrame, cols: Iterable[str] = REQUIRED_COLS) -> DataFrame:
     return df.select(*[checked(c) if c in set(cols) else F.col(c) for c in df.columns])
 
 
+def replace_folder(df: DataFrame, path: str) -> None:
+    """Write ``df`` beside ``path`` and put it there once all rows are written: a job that fails leaves what
+    stood there, and ``df`` may read it. The exchange is two renames; a reader in between finds no table."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    tag = uuid.uuid4().hex
+    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{tag}", f"{path}.old-{tag}"))
+    fs = here.getFileSystem(conf)
+    try:
+        df.write.parquet(new.toString())
+        had = fs.exists(here)
+        if had and not fs.rename(here, old):
+            raise OSError(f"cannot move the rows of {path} aside")
+        if not fs.rename(new, here):
+            if had:
+                fs.rename(old, here)
+            raise OSError(f"cannot put the new rows at {path}")
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Salary table at a path: 'overwrite' clears it first, 'append' adds rows;
-    required columns are checked for NULL and a ``created_at`` timestamp is added."""
+    """Salary table at a path: 'overwrite' replaces it once all rows are written, 'append' adds rows;
+    required columns are checked for NULL and a ``created_at`` timestamp is added. When a row fails the
+    check, the table stays as it was in either mode."""
     out = not_null(df.select(*SALARY_FIELDS)).withColumn("created_at", F.current_timestamp())
-    out.write.mode(mode).parquet(path)
+    if mode == "overwrite":
+        replace_folder(out, path)
+    else:
+        out.write.mode(mode).parquet(path)
     return path
 
 
