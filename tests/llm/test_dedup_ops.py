@@ -196,14 +196,30 @@ def test_one_of_each_group_with_clashing_columns(spark):
     assert left.columns == docs.columns and sorted(r.dropped for r in left.collect()) == [1, 3, 4]
 
 
+def bitmaps_of(spark, sets):
+    rows = [(k, len(s), bytearray(ngram_join.bitmap(s).tobytes())) for k, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "id long, n long, bits binary")
+
+
+def test_hot_component_of_a_key_is_not_compared_with_itself(spark, monkeypatch):
+    """One key, one component of 300 near copies and 30 single sets, one of which is near the component."""
+    monkeypatch.setattr(ngram_join, "NODE", 16)
+    rng = np.random.default_rng(5)
+    base = rng.integers(-2**62, 2**62, 100)
+    sets = [np.unique(np.append(base, rng.integers(-2**62, 2**62, 2))) for _ in range(300)]
+    sets += [np.unique(rng.integers(-2**62, 2**62, 100)) for _ in range(29)] + [np.unique(np.append(base, [k for k in range(3)]))]
+    members = spark.createDataFrame([(7, 330, k, 0 if k < 300 else k) for k in range(330)], "key long, members long, id long, component long")
+    found = {tuple(sorted(r)) for r in ngram_join.tree_pairs(members, bitmaps_of(spark, sets), 85).collect()}
+    assert {b for _, b in found} == {329} and len(found) == 300
+
+
 def test_tree_finds_links_that_stars_miss(spark):
     """Pairs inside buckets whose classes differ from the bucket's first one."""
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(-2**62, 2**62, 60)) for _ in range(20)]
     sets += [np.unique(np.concatenate([s[:57], rng.integers(-2**62, 2**62, 3)])) for s in sets]
-    members = [(7, 40, k, k, len(s), bytearray(ngram_join.bitmap(s).tobytes())) for k, s in enumerate(sets)]
-    df = spark.createDataFrame(members, "key long, members long, id long, component long, n long, bits binary")
-    found = {tuple(sorted(r)) for r in ngram_join.tree_pairs(df, 85).collect()}
+    members = spark.createDataFrame([(7, 40, k, k) for k in range(len(sets))], "key long, members long, id long, component long")
+    found = {tuple(sorted(r)) for r in ngram_join.tree_pairs(members, bitmaps_of(spark, sets), 85).collect()}
     for a in range(40):
         for b in range(a + 1, 40):
             both = len(np.intersect1d(sets[a], sets[b]))
