@@ -28,8 +28,6 @@ MONEY_COLS = ("base_salary", "guaranteed_comp")
 DISTRIBUTION_PS = (0.25, 0.75, 0.90, 0.99)
 PERCENTILE_PS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
-# Widest pivot accepted (one output column per club).
-
 
 def dbl(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")

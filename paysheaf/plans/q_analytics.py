@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..operators import sketches as S
 from ..sources.tables import read_table
 from ..sources.fixtures import pay_records
+from ..sinks.writers import output_dir
 from .catalog import query
 from .oracle_fixtures import PAY, with_
 
@@ -211,6 +213,32 @@ def percentiles_approx(spark, sf):
     return A.percentile_rank_check(pay_records(spark, sf))
 
 
+_PS = ", ".join(f"CAST({p} AS DOUBLE)" for p in A.PERCENTILE_PS)
+_SKETCHED = """
+SELECT {by}, unnest([""" + _PS + """]) AS p, n, TRUE AS within_error
+FROM (SELECT {by}, COUNT(guaranteed_comp) AS n FROM pay WHERE {where} GROUP BY {by}) t WHERE n > 0"""
+
+
+def _sketches(spark, sf):
+    recs = pay_records(spark, sf)
+    return recs, S.read_sketches(spark, S.write_sketches(recs, output_dir(spark, "sketches")))
+
+
+@query("sketch_percentiles", W + _SKETCHED.format(by="year", where="year IS NOT NULL"))
+def sketch_percentiles(spark, sf):
+    """Percentiles of each year, merged from the stored sketches of each (year, club)."""
+    recs, kept = _sketches(spark, sf)
+    return S.rank_check(S.sketch_percentiles(kept.filter("year IS NOT NULL"), ["year"]), recs, ["year"])
+
+
+@query("sketch_percentiles_club", W + _SKETCHED.format(by="club", where=f"year = {YEAR} AND club IS NOT NULL"))
+def sketch_percentiles_club(spark, sf):
+    """A12 + F1: percentiles of each club in one year, from the same stored sketches."""
+    recs, kept = _sketches(spark, sf)
+    answers = S.sketch_percentiles(kept.filter((F.col("year") == YEAR) & F.col("club").isNotNull()), ["club"])
+    return S.rank_check(answers, A.by_year(recs, YEAR), ["club"])
+
+
 @query("sql_avg_by_position", W + f"""
 SELECT position, {_mean('guaranteed_comp')} AS avg_salary FROM pay
 WHERE year = {YEAR} AND position <> '' GROUP BY position ORDER BY avg_salary DESC, position""")

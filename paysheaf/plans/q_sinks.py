@@ -18,6 +18,7 @@ from .oracle_fixtures import LINKS, PAY, ROSTER, STATS_SRC, with_
 W = with_(PAY)
 YEAR = 1998
 POSITION = "MAC"
+CLUB = "NATION_7"
 _REC = ("year, club, last_name, first_name, {pos}, CAST(base_salary AS DOUBLE) AS base_salary, "
         "CAST(guaranteed_comp AS DOUBLE) AS guaranteed_comp")
 
@@ -49,6 +50,20 @@ def sink_partitioned(spark, sf):
     return back.groupBy(F.col("year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("sink_partitioned_rows", W + "SELECT " + _REC.format(pos="NULLIF(position, '') AS position") + " FROM pay")
+def sink_partitioned_rows(spark, sf):
+    """All rows of the year folders, as the loader reads them."""
+    path = Wr.write_records_by_year(pay_records(spark, sf), Wr.output_dir(spark, "by_year"), "csv")
+    return _money_double(Wr.read_records_csv(spark, path))
+
+
+@query("clustered_scan", W + "SELECT " + _REC.format(pos="position") + f" FROM pay WHERE club = '{CLUB}' AND year >= {YEAR}")
+def clustered_scan(spark, sf):
+    """W7 + F1/F2: records written in the order of year and club; one club of the later years read back."""
+    path = Wr.write_clustered(pay_records(spark, sf), Wr.output_dir(spark, "clustered"))
+    return _money_double(Wr.read_records_parquet(spark, path).filter((F.col("club") == CLUB) & (F.col("year") >= YEAR)))
+
+
 @query("sink_overwrite_append", W + """
 SELECT 'overwrite' AS step, COUNT(*) AS n FROM pay
 UNION ALL SELECT 'append', 2 * COUNT(*) FROM pay
