@@ -88,6 +88,25 @@ def test_licences_are_found_and_confirmed(licence_rows, no_docs):
     assert licenses.document_licences(no_docs).count() == 0
 
 
+def test_near_licence_families_are_told_apart(spark):
+    """Neighbours by version, Lesser, NC and SA; a wrapped header; versions and variants that have no notice."""
+    gpl = "licensed under the GNU General Public License, version "
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    header = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+              "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n")
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that"
+    want = [("This work is " + gpl + "2.", "gpl-2.0"), ("This work is " + gpl + "3.", "gpl-3.0"),
+            ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl-3.0"),
+            (cc.format(""), "cc-by-4.0"), (cc.format("-ShareAlike"), "cc-by-sa-4.0"), (cc.format("-NonCommercial"), "cc-by-nc-4.0"),
+            (cc.format("-NonCommercial-ShareAlike"), ""), (header, "gpl-3.0"), (header.replace("General", "Lesser General"), "lgpl-3.0"), (isc, "isc"),
+            ("Licensed under the Apache License, Version 1.1.", ""), ("Licensed under the Apache License, Version 2.0.", "apache-2.0")]
+    clean = [(1000 + k, f"plain words number{k} about nothing\nmore words {k} of a longer line that says little") for k in range(200)]
+    docs = spark.createDataFrame([(k, "some words\n\n" + t + "\n\nother words here") for k, (t, _) in enumerate(want)] + clean, "doc_id long, text string")
+    got = {r.id: r.licences for r in licenses.document_licences(docs).collect()}
+    assert [got[k] for k in range(len(want))] == [f for _, f in want]
+    assert not any(got[k] for k in got if k >= 1000)
+
+
 def test_licence_plan_is_native(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lines = licenses.vectors(licenses.paragraphs(docs, "doc_id", "text"))
