@@ -1,17 +1,19 @@
 """Link discovery over captured HTML pages (a DataFrame with a page key and its HTML).
 
-All extraction runs in the JVM (``functions/html.py``): comments and scripts are dropped,
-nested elements are followed by depth, attributes may be quoted in any way, entities are
+Each page is read once (``functions/html.py``): comments and scripts are dropped, nested elements are followed by depth, attributes may be quoted in any way, entities are
 decoded, classes are compared as tokens. Links are exploded with their position.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import anchors, attr, bound, clean, elements, has_class, let
+from ..functions.html import anchors, attr, clean, elements, has_class, pattern
 from ..functions.text import collapse_ws, strip
+from .page_rows import page_rows
 
 # --- fixed values -------------------------------------------------------------------------
 # A year between 2000 and 2050, first match in the text.
@@ -40,13 +42,49 @@ def detect_format(url: Column) -> Column:
     return F.when(u.contains(".csv"), F.lit("csv")).when(u.contains(".pdf"), F.lit("pdf"))
 
 
-def guide_block(html: Column) -> Column:
-    """Inner HTML of the first salary-guide <div> (NULL when the page has none)."""
-    return F.get(elements(clean(html), "div", GUIDE_CLASS), 0)
+def guide_anchors(page: str) -> list[tuple[str, str]]:
+    """Links of the first salary-guide <div> of a cleaned page (none when it has no such element)."""
+    return anchors(next(iter(elements(page, "div", GUIDE_CLASS)), ""))
+
+
+def season_values(page: str) -> list[str] | None:
+    """Option values of the first season drop-down of a cleaned page that is not the mobile copy (None without one)."""
+    for attrs, body in pattern(r"<select\b([^>]*)>(.*?)(?=</select\b|<select\b|\Z)").findall(page):
+        if has_class(attrs, SEASON_SELECT_CLASS) and not has_class(attrs, MOBILE_CLASS):
+            values = [attr(o, "value") for o in pattern(r"<option\b([^>]*)>").findall(body)]
+            return [v for v in values if v is not None]
+    return None
+
+
+def read_guide(html: str | None) -> Iterator[tuple]:
+    """(pos, href, text) of the guide links of a page."""
+    for pos, (href, text) in enumerate(guide_anchors(clean(html)) if html is not None else []):
+        yield pos, href, text
+
+
+def read_links(html: str | None) -> Iterator[tuple]:
+    """(pos, href) of all links of a page."""
+    for pos, (href, _) in enumerate(anchors(clean(html)) if html is not None else []):
+        yield pos, href
 
 
-def _guide_anchors(html: Column) -> Column:
-    return anchors(F.coalesce(guide_block(html), F.lit("")))
+def read_seasons(html: str | None) -> Iterator[tuple]:
+    """(pos, value) of the season options of a page."""
+    yield from enumerate((season_values(clean(html)) if html is not None else None) or [])
+
+
+def read_guide_seasons(html: str | None) -> Iterator[tuple]:
+    """(pos, href, text, seasons) of the guide links of a page, seasons being the option values."""
+    if html is not None:
+        page = clean(html)
+        seasons = season_values(page)
+        for pos, (href, text) in enumerate(guide_anchors(page)):
+            yield pos, href, text, seasons
+
+
+def season(value: Column) -> Column:
+    """An option value as an integer, NULL where it is none."""
+    return F.when(strip(value).rlike(r"^[+-]?[0-9]+$"), strip(value).try_cast("int"))
 
 
 def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -55,9 +93,8 @@ def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     ``text`` is the anchor text without tags, whitespace-collapsed; ``year`` comes from the
     text, else from the address; ``format`` from the address. Links without year or format
     are kept here (NULL) — ``guide_sources`` drops them."""
-    block = bound(pages, [key], _guide=F.coalesce(guide_block(F.col(html)), F.lit("")))
-    ex = block.select(key, F.posexplode(anchors(F.col("_guide"))).alias("pos", "a"))
-    ex = bound(ex, [key, "pos"], href=strip(F.col("a.href")), text=collapse_ws(F.col("a.text")))
+    found = page_rows(pages, [key], html, "pos int, href string, text string", read_guide)
+    ex = found.select(key, "pos", strip(F.col("href")).alias("href"), collapse_ws(F.col("text")).alias("text"))
     return ex.select(key, "pos", "href", "text", extract_year(F.col("text"), F.col("href")).alias("year"),
                      detect_format(F.col("href")).alias("format"))
 
@@ -88,8 +125,7 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
     first_key, first_pos) — one row per slug, the first occurrence decides its rank.
 
     The display name is the slug with '-' as spaces in title case."""
-    found = F.transform(anchors(clean(F.col(html))), lambda a: a["href"])
-    hrefs = pages.select(key, F.posexplode(found).alias("pos", "href"))
+    hrefs = page_rows(pages, [key], html, "pos int, href string", read_links)
     slug = F.regexp_extract("href", r"/clubs/([^/]+)/" + kind, 1)
     found = hrefs.select(key, "pos", slug.alias("slug")).filter(F.col("slug") != "")
     first = found.groupBy("slug").agg(F.min(F.struct(key, "pos")).alias("_f"))
@@ -101,30 +137,19 @@ def club_links(pages: DataFrame, kind: str = "roster", key: str = "page_id",
         F.col(f"_f.{key}").alias("first_" + key), F.col("_f.pos").alias("first_pos"))
 
 
-def season_list(html: Column) -> Column:
-    """Integer option values of the first season drop-down that is not the mobile copy, NULL
-    where a value is no integer."""
-    sel = F.lit(r"(?is)<select\b([^>]*)>(.*?)(?=</select\b|<select\b|\z)")
-    selects = let(clean(html), lambda h: F.arrays_zip(F.regexp_extract_all(h, sel, 1).alias("attrs"), F.regexp_extract_all(h, sel, 2).alias("body")))
-    desktop = F.filter(selects, lambda s: has_class(s["attrs"], SEASON_SELECT_CLASS) & ~has_class(s["attrs"], MOBILE_CLASS))
-    options = F.regexp_extract_all(F.get(desktop, 0)["body"], F.lit(r"(?is)<option\b([^>]*)>"), 1)
-    values = F.filter(F.transform(options, lambda o: attr(o, "value")), lambda v: v.isNotNull())
-    return F.transform(values, lambda v: F.when(strip(v).rlike(r"^[+-]?[0-9]+$"), strip(v).try_cast("int")))
-
-
 def season_options(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, pos, season): the integer seasons of ``season_list``."""
-    out = pages.select(key, F.posexplode(season_list(F.col(html))).alias("pos", "season"))
-    return out.filter(F.col("season").isNotNull())
+    """(key, pos, season): the integer options of the first season drop-down that is not the mobile copy."""
+    out = page_rows(pages, [key], html, "pos int, value string", read_seasons)
+    return out.select(key, "pos", season(F.col("value")).alias("season")).filter(F.col("season").isNotNull())
 
 
 def links_in_season(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, year): guide links whose year is a season offered on the same page. Both lists
-    stand in one row, so the semi join needs no shuffle."""
-    years = F.transform(_guide_anchors(F.col(html)), lambda a: extract_year(collapse_ws(a["text"]), strip(a["href"])))
-    d = pages.select(key, years.alias("years"), season_list(F.col(html)).alias("seasons"))
-    offered = F.transform("years", lambda y: F.when(F.array_contains(F.col("seasons"), y), y))
-    return d.select(key, F.posexplode(offered).alias("pos", "year")).filter(F.col("year").isNotNull())
+    are read from one page, so the semi join needs no shuffle."""
+    d = page_rows(pages, [key], html, "pos int, href string, text string, seasons array<string>", read_guide_seasons)
+    year = extract_year(collapse_ws(F.col("text")), strip(F.col("href"))).alias("year")
+    d = d.select(key, "pos", year, F.transform("seasons", season).alias("seasons"))
+    return d.filter(F.array_contains("seasons", F.col("year"))).select(key, "pos", "year")
 
 
 def available_years(pages: DataFrame, requested: int | None = None, key: str = "page_id") -> DataFrame:
