@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Distinct white-space fragments remembered by a Python worker (about 100 MB at most).
-MEMORY = 250_000
+#: Distinct white-space fragments, and pieces of them, remembered by a Python worker (about 30 MB of each at most).
+MEMORY = 60_000
 
 #: Texts that a worker turns into Python strings at once.
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 64
 
 ODD = re.compile("[\x1c-\x1f]")
 
@@ -113,7 +113,7 @@ class Vocabulary:
 
     def _learn(self, fragments: set[str]) -> None:
         new = fragments.difference(self.ids)
-        if len(self.ids) + len(new) > MEMORY:
+        if max(len(self.ids) + len(new), *map(len, self.pieces.values())) > MEMORY:
             new = fragments
             for table in (self.ids, self.text, *self.pieces.values()):
                 table.clear()
