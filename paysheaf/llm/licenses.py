@@ -2,9 +2,10 @@
 
 A paragraph is one line. Its words and word pairs are hashed into sparse vectors, and a multinomial
 logistic regression with an L1 penalty gives the probability of every licence family and of the class
-unknown. It learns the families from word windows of the notices below, and unknown from at most
-``UNKNOWN_ROWS`` paragraphs of the corpus that share no word triple with a notice, besides a few sentences
-about other licences. A third of the unknown paragraphs is kept out of training: the probability that a
+unknown. It learns the families from word windows of the notices below, and unknown from all
+paragraphs of the corpus that share no word triple with a notice, besides a few sentences
+about other licences. The paragraphs together weigh no more than ``UNKNOWN_WEIGHT`` windows, so that a large corpus does
+not drown the families. A third of the unknown paragraphs is kept out of training: the probability that a
 paragraph is any licence must exceed all but one in a thousand of theirs (and 0.5) to count. Such a paragraph is
 then compared, together with the ``AROUND`` lines before and after it (notices are often wrapped), with the notices of all
 families. A notice fits if the text holds at least ``CONTAINED`` of its word triples and all its telling ones: those with
@@ -24,10 +25,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quantiles import exact_quantiles
 from .common import stored
 
 FEATURES = 1 << 13
-UNKNOWN_ROWS = 3000
+UNKNOWN_WEIGHT = 3000.0
 CONTAINED = 0.6
 #: Lines before and after a paragraph that may hold the rest of its notice.
 AROUND = 3
@@ -106,8 +108,8 @@ def notices(spark: SparkSession) -> DataFrame:
     return n.select("label", "words", joined("words", 3).alias("triples"))
 
 
-def training_rows(spark: SparkSession, lines: DataFrame, rows: int, documents: int) -> DataFrame:
-    """label (0 unknown), words, kept_out."""
+def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """label (0 unknown), words, kept_out, corpus (whether the row is a paragraph of the corpus)."""
     n = notices(spark)
     # Windows of three quarters of a notice or more, so that a notice that is cut or continued is known too.
     start = F.explode(F.sequence(F.lit(1), F.greatest(F.floor(F.size("words") / 4).cast("int"), F.lit(1)))).alias("start")
@@ -122,13 +124,16 @@ def training_rows(spark: SparkSession, lines: DataFrame, rows: int, documents: i
         F.lit(0).alias("label"), words_of(F.col("t")).alias("words"), F.lit(False).alias("kept_out"))
     known = F.array(*[F.lit(x) for x in sorted({x for r in n.select(F.explode("triples").alias("x")).collect() for x in [r["x"]]})])
     h = F.xxhash64("words")
-    # Only the lowest hashes, four documents' worth for each wanted row, go to the task that orders them.
-    share = min(1.0, 4 * rows / max(documents, 1))
-    low = lines.select("words", h.alias("h")).filter(F.col("h") <= F.lit(int(-2**63 + share * (2**64 - 1)) if share < 1 else 2**63 - 1))
-    sample = (low.orderBy("h").limit(rows)
-              .filter(~F.arrays_overlap(joined("words", 3), known))
-              .select(F.lit(0).alias("label"), "words", (F.pmod("h", F.lit(3)) == 0).alias("kept_out")))
-    return spans.union(other).union(sample)
+    unknown = (lines.filter(~F.arrays_overlap(joined("words", 3), known))
+               .select(F.lit(0).alias("label"), "words", (F.pmod(h, F.lit(3)) == 0).alias("kept_out"), F.lit(True).alias("corpus")))
+    return spans.union(other).withColumn("corpus", F.lit(False)).union(unknown)
+
+
+def weighted(data: DataFrame) -> DataFrame:
+    """Rows to learn from, with their weight: paragraphs of the corpus weigh ``UNKNOWN_WEIGHT`` together, or 1 each if fewer."""
+    n = data.filter("corpus").count()
+    weight = F.when(F.col("corpus"), F.lit(min(1.0, UNKNOWN_WEIGHT / max(n, 1)))).otherwise(F.lit(1.0))
+    return data.filter("not kept_out").withColumn("weight", weight)
 
 
 def vectors(df: DataFrame) -> DataFrame:
@@ -140,16 +145,15 @@ def licence_probability() -> Column:
     return 1 - F.get(vector_to_array("probability"), F.lit(0))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = UNKNOWN_ROWS) -> tuple[LogisticRegressionModel, float]:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[LogisticRegressionModel, float]:
     """The model, and the probability from which a paragraph counts as a licence."""
-    spark = docs.sparkSession
-    data = stored(training_rows(spark, paragraphs(docs, id_col, text_col), rows, docs.count()), "training").coalesce(4)
+    data = stored(training_rows(docs.sparkSession, paragraphs(docs, id_col, text_col)), "training")
     data = data.withColumn("label", F.col("label").cast("double"))
-    learn = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=3e-4, maxIter=40)
-    model = learn.fit(vectors(data.filter("not kept_out")))
-    out = model.transform(vectors(data.filter("kept_out and label = 0")))
-    high = out.agg(F.percentile(licence_probability(), 0.999)).first()[0]
-    return model, max(0.5, high or 0.0)
+    learn = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=3e-4, maxIter=40, weightCol="weight")
+    model = learn.fit(vectors(weighted(data)))
+    out = model.transform(vectors(data.filter("kept_out and label = 0"))).select(licence_probability().alias("p"))
+    high = exact_quantiles(stored(out, "kept_out"), "p", [0.999]).first()
+    return model, max(0.5, high["value"] if high else 0.0)
 
 
 def templates(spark: SparkSession) -> list[tuple[str, list[str], list[str]]]:
@@ -186,10 +190,10 @@ def scan(docs: DataFrame, model: LogisticRegressionModel, threshold: float, id_c
                         F.coalesce("best.share", F.lit(0.0)).alias("contained"), F.col("best").isNotNull().alias("confirmed"))
 
 
-def document_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = UNKNOWN_ROWS) -> DataFrame:
+def document_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document id: id, licences (confirmed families, sorted, joined by commas), confirmed and
     unconfirmed (paragraphs)."""
-    model, threshold = train(docs, id_col, text_col, rows)
+    model, threshold = train(docs, id_col, text_col)
     found = scan(docs, model, threshold, id_col, text_col)
     per = found.groupBy("id").agg(
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("licences"),
