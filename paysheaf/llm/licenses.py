@@ -25,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from ..operators.quantiles import exact_quantiles
 from .common import stored
 
@@ -80,16 +81,14 @@ def words_of(text: Column) -> Column:
 
 
 def joined(words: str, n: int) -> Column:
-    """Runs of n words."""
-    w = F.col(words)
-    return F.when(F.size(w) < n, F.array().cast("array<string>")).otherwise(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " ")))
+    """Runs of n words; the words, however they come about, are computed once and not for every run."""
+    return let(F.col(words), lambda w: F.when(F.size(w) < n, F.array().cast("array<string>")).otherwise(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))))
 
 
 def pairs_and_words(words: str) -> Column:
-    w = F.col(words)
-    return F.concat(w, F.transform(F.arrays_zip(w.alias("a"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("b")),
-                                   lambda p: F.concat_ws(" ", p["a"], p["b"])))
+    return let(F.col(words), lambda w: F.concat(w, F.transform(
+        F.arrays_zip(w.alias("a"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("b")), lambda p: F.concat_ws(" ", p["a"], p["b"]))))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

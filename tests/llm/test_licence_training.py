@@ -13,3 +13,12 @@ def test_every_paragraph_is_learnt_from(spark):
     used = licenses.weighted(data).filter("corpus").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).first()
     assert used.n == data.filter("corpus and not kept_out").count() > 2000
     assert abs(used.w - licenses.UNKNOWN_WEIGHT * used.n / 3500) < 1e-6
+
+
+def test_words_are_computed_once_for_all_their_runs(spark):
+    lines = spark.createDataFrame([("One two, three four",), ("a b",)], "t string").select(licenses.words_of(F.col("t")).alias("words"))
+    for runs, found in ((licenses.joined("words", 3), [["one two three", "two three four"], []]),
+                        (licenses.pairs_and_words("words"), [["one", "two", "three", "four", "one two", "two three", "three four", "four"], ["a", "b", "a b", "b"]])):
+        df = lines.select(runs.alias("runs"))
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+        assert [r.runs for r in df.collect()] == found
