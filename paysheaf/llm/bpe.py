@@ -20,17 +20,18 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Distinct white-space fragments, and pieces of them, remembered by a Python worker (about 30 MB of each at most).
-MEMORY = 60_000
+#: Distinct white-space fragments, and pieces of them, remembered by a Python worker (about 75 MB, by words of usual
+#: length). A fragment that is one piece shares its entry.
+MEMORY = 200_000
 
 #: Texts that a worker turns into Python strings at once.
 ROWS_AT_ONCE = 64
@@ -75,9 +76,10 @@ class Vocabulary:
         chars = byte_characters()
         self.char = [chars[b] for b in range(256)]
         self.joined = self._joined(model["vocab"])
-        self.ids: dict[str, bytes] = {}
-        self.text: dict[str, str] = {}
-        self.pieces: dict[bool, dict[str, tuple[int, ...]]] = {True: {}, False: {}}
+        #: Ids of each remembered fragment, and what they decode to.
+        self.known: dict[str, tuple[bytes, str]] = {}
+        self.again: set[str] = set()
+        self.pieces: dict[bool, dict[str, tuple[bytes, str]]] = {True: {}, False: {}}
 
     def _joined(self, vocab: Iterable[str]) -> frozenset[str]:
         """Pairs of byte characters that some token holds next to each other; between any others is a certain cut."""
@@ -93,42 +95,45 @@ class Vocabulary:
 
     def _cut(self, fragment: str) -> list[list[str]]:
         """Matches of a fragment without white space, each as its pieces between certain cuts."""
-        words = []
-        for word in self.match.findall(fragment):
-            w = word if word.isascii() and word.isprintable() else "".join([self.char[b] for b in word.encode("utf-8")])
-            cuts = [i for i in range(1, len(w)) if w[i - 1:i + 1] not in self.joined]
-            words.append([w[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(w)])])
-        return words
+        words, last = self.match.findall(fragment), self.pieces[True]
+        if not (fragment.isascii() and fragment.isprintable()):
+            words = ["".join([self.char[b] for b in w.encode("utf-8")]) for w in words]
+        # A known last piece has no cut inside; most other words have none either.
+        return [[w] if w in last or self.joined.issuperset(map(add, w, w[1:])) else self._apart(w) for w in words]
+
+    def _apart(self, w: str) -> list[str]:
+        cuts = [i for i in range(1, len(w)) if w[i - 1:i + 1] not in self.joined]
+        return [w[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(w)])]
 
     def _merge(self, pieces: set[str], last: bool) -> None:
         """Encode pieces on their own, all in one call: the encoder takes each as a word."""
         known = self.pieces[last]
         new = list(pieces.difference(known))
         if new:
-            got: list[list[int]] = [[] for _ in new]
             coded = self.encoder[last].encode(" ".join(new), add_special_tokens=False)
-            for i, k in zip(coded.ids, coded.word_ids):
-                got[k].append(i)
-            known.update(zip(new, map(tuple, got)))
+            ids, tokens = np.array(coded.ids, "<u4").tobytes(), coded.tokens
+            ends = np.cumsum(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(new))).tolist()
+            known.update((p, (ids[4 * lo:4 * hi], " ".join(tokens[lo:hi]))) for p, lo, hi in zip(new, [0, *ends], ends))
 
     def _learn(self, fragments: set[str]) -> None:
-        new = fragments.difference(self.ids)
-        if max(len(self.ids) + len(new), *map(len, self.pieces.values())) > MEMORY:
-            new = fragments
-            for table in (self.ids, self.text, *self.pieces.values()):
+        new = fragments.difference(self.known)
+        self.again |= fragments.difference(new)
+        if max(len(self.known) + len(new), *map(len, self.pieces.values())) > MEMORY:
+            # What was met again since the table was last cut stays, as far as it leaves half of the table free.
+            kept = self.again if len(self.again) <= MEMORY // 2 else fragments.difference(new)
+            self.known, self.again = {f: self.known[f] for f in kept}, set()
+            for table in self.pieces.values():
                 table.clear()
-        cut = {f: self._cut(f) for f in new}
-        self._merge({w[-1] for words in cut.values() for w in words}, True)
-        self._merge({p for words in cut.values() for w in words for p in w[:-1]}, False)
+        cut = [(f, self._cut(f)) for f in new]
+        self._merge({w[-1] for _, words in cut for w in words}, True)
+        self._merge({p for _, words in cut for w in words if len(w) > 1 for p in w[:-1]}, False)
         inner, last = self.pieces[False], self.pieces[True]
-        for f, words in cut.items():
-            ids: list[int] = []
-            for w in words:
-                for p in w[:-1]:
-                    ids += inner[p]
-                ids += last[w[-1]]
-            self.ids[f] = struct.pack(f"<{len(ids)}I", *ids)
-            self.text[f] = self.decode(ids)
+        for f, words in cut:
+            if len(words) == 1 and len(words[0]) == 1:
+                self.known[f] = last[words[0][0]]
+            else:
+                coded = [part for w in words for part in (*[inner[p] for p in w[:-1]], last[w[-1]])]
+                self.known[f] = b"".join([ids for ids, _ in coded]), " ".join([text for _, text in coded if text])
 
     def _parts(self, text: str | None) -> list[tuple[int | None, list[str]]]:
         """The text as special tokens and lists of fragments."""
@@ -149,15 +154,17 @@ class Vocabulary:
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
         """For each text, its ids as little-endian unsigned 32-bit integers, and what they decode to."""
         cut, out = [self._parts(t) for t in texts], []
-        self._learn({f for parts in cut for _, fragments in parts for f in fragments})
+        self._learn(set().union(*[fragments for parts in cut for _, fragments in parts]))
         for parts in cut:
             ids, decoded = [], []
             for special, fragments in parts:
                 if special is not None:
                     ids.append(special.to_bytes(4, "little"))
                     decoded.append(self.token[special])
-                ids += map(self.ids.__getitem__, fragments)
-                decoded += filter(None, map(self.text.__getitem__, fragments))
+                if fragments:
+                    own, texts_of = zip(*map(self.known.__getitem__, fragments))
+                    ids += own
+                    decoded += filter(None, texts_of)
             out.append((b"".join(ids), " ".join(decoded)))
         return out
 

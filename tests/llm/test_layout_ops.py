@@ -134,6 +134,18 @@ def test_bpe_tables_may_be_dropped_at_any_time(monkeypatch):
         assert np.frombuffer(words_.encode([text])[0][0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_keeps_what_recurs(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 50)
+    words_, cut, seen = bpe.Vocabulary(VOCAB), bpe.Vocabulary._cut, []
+    monkeypatch.setattr(bpe.Vocabulary, "_cut", lambda self, f: seen.append(f) or cut(self, f))
+    library = Tokenizer.from_file(VOCAB)
+    for k in range(20):
+        text = "often " + " ".join(f"tion{k}x{j}" for j in range(30))
+        assert np.frombuffer(words_.encode([text])[0][0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(words_.known) <= 50
+    assert seen.count("often") == 1 and len(seen) == 601
+
+
 def test_shards_are_even_and_keep_copies_together(spark, edge, no_docs):
     rows, docs = edge
     out = sharding.shard(docs)
