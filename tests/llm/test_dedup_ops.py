@@ -196,6 +196,29 @@ def test_one_of_each_group_with_clashing_columns(spark):
     assert left.columns == docs.columns and sorted(r.dropped for r in left.collect()) == [1, 3, 4]
 
 
+def test_variants_below_the_threshold_are_not_paired_with_each_other(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "NODE", 16)
+    words_ = [f"w{k}" for k in range(150)]
+    texts = [" ".join(f"v{d}x{k}" if k in (10 + d, 55 + d, 140 - d) else w for k, w in enumerate(words_)) for d in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    checked, verified = [], ngram_join.verified
+
+    def counted(docs, pairs, *rest):
+        checked.append(pairs.count())
+        return verified(docs, pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    got = {(r.id, r.component_id) for r in ngram_join.near_duplicates(docs, size=5, percent=80).collect()}
+    shingled = [{tuple(t.split()[k:k + 5]) for k in range(146)} for t in texts]
+    linked = [(a, b) for a in range(40) for b in range(a) if 100 * len(shingled[a] & shingled[b]) >= 80 * len(shingled[a] | shingled[b])]
+    component = list(range(40))
+    for _ in component:
+        for a, b in linked:
+            component[a] = component[b] = min(component[a], component[b])
+    assert got == set(enumerate(component))
+    assert sum(checked) <= 80 + len(linked)  # narrow bitmaps leave 254
+
+
 def bitmaps_of(spark, sets):
     rows = [(k, len(s), bytearray(ngram_join.bitmap(s).tobytes())) for k, s in enumerate(sets)]
     return spark.createDataFrame(rows, "id long, n long, bits binary")
