@@ -219,6 +219,26 @@ def test_variants_below_the_threshold_are_not_paired_with_each_other(spark, monk
     assert sum(checked) <= 80 + len(linked)  # narrow bitmaps leave 254
 
 
+def test_a_dense_group_behind_outliers_is_not_linked_pair_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CROWD", 16, raising=False)
+    words_ = [f"w{k}" for k in range(150)]
+    # Ten outliers with the smallest ids, below the threshold to all others; the rest differ from each other by two words.
+    changed = [(10 + 3 * d, 45 + 3 * d, 80 + 3 * d, 115 + 3 * d) if d < 10 else (2 * d,) for d in range(60)]
+    texts = [" ".join(f"v{d}x{k}" if k in changed[d] else w for k, w in enumerate(words_)) for d in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    links, verified = [], ngram_join.verified
+
+    def counted(docs, pairs, *rest):
+        out = verified(docs, pairs, *rest)
+        links.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    got = {(r.id, r.component_id) for r in ngram_join.near_duplicates(docs, size=5, percent=80).collect()}
+    assert got == {(d, d if d < 10 else 10) for d in range(60)}
+    assert sum(links) <= 180  # every pair of the 50: 1,225
+
+
 def bitmaps_of(spark, sets):
     rows = [(k, len(s), bytearray(ngram_join.bitmap(s).tobytes())) for k, s in enumerate(sets)]
     return spark.createDataFrame(rows, "id long, n long, bits binary")
