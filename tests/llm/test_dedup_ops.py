@@ -4,11 +4,14 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from paysheaf.llm import components, exact_dedup, line_dedup, ngram_join
+from paysheaf.llm.common import stored
 from paysheaf.llm.shingles import shingles
 
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -286,3 +289,54 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r.node: r.component for r in components.components(links).collect()}
     assert got == {k: 100 for k in range(101, 401)} | {k: 5 for k in range(1000, 1300)}
     assert components.components(links.limit(0)).count() == 0
+
+
+def test_sets_that_meet_by_chance_send_no_bitmaps(spark, monkeypatch):
+    """Documents of very different sizes, or with their one common passage late among their shingles, are told apart by their routes."""
+    rng = np.random.default_rng(8)
+    common = [f"c{k}" for k in range(40)]
+    texts = [" ".join([*(f"d{d}x{k}" for k in range(60 + 40 * d)), *common]) for d in range(24)]
+    near = [t.split() for t in texts[:4]]
+    for w in near:
+        w[int(rng.integers(5, 50))] = "other"
+    texts += [" ".join(w) for w in near]
+    sent, possible_pairs = [], ngram_join.possible_pairs
+
+    def counted(pairs, sets, percent):
+        sent.append(pairs.count())
+        return possible_pairs(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "possible_pairs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(docs, size=4, percent=85).collect()), key=str)
+    assert got == brute(list(enumerate(texts)), 4, 85)
+    assert sorted((i, c) for i, _, c in got if i >= 24) == [(24 + k, k) for k in range(4)]
+    assert sum(sent) <= 8  # 32 when bitmaps are sent for every pair
+
+
+def test_routes_keep_every_link_whatever_shingles_count_as_frequent(spark, monkeypatch):
+    """Of keys with the same members one stays, and it must be the first in the order that puts frequent shingles last."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{d}x{k}" for k in range(100 + d)) for d in range(30)]
+    texts += [" ".join("other" if k == 20 + d else w for k, w in enumerate(t.split())) for d, t in enumerate(texts)]
+    every = np.unique(np.concatenate([shingles(t, 4) for t in texts]))
+    monkeypatch.setattr(ngram_join, "frequent_shingles", lambda *_: np.sort(rng.choice(every, len(every) // 2, replace=False)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(docs, size=4, percent=90).collect()), key=str)
+    assert got == brute(list(enumerate(texts)), 4, 90)
+    assert {i: c for i, _, c in got if i >= 30} == {30 + k: k for k in range(30)}
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name)
+    out = stored(spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert len(out.collect()) == 7 and spark.conf.get(name) == setting
+    until = time.time() + 5
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
